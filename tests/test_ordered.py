@@ -19,7 +19,7 @@ def make_rows(n=3000, seed=5):
     rows = []
     for i in range(n):
         device = rng.choices(["hot", "a", "b", None], [66, 10, 14, 10])[0]
-        at = t0 + timedelta(seconds=rng.randrange(n // 10))
+        at = t0 + timedelta(seconds=rng.randrange(max(1, n // 10)))
         rows.append((device, at, i, rng.choice(["x", "x", "y", None]), rng.choice([None, 1, 2, -3])))
     return rows
 
