@@ -22,7 +22,7 @@ def landing_stream(
     root: str,
     stream: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Files of a stream as they land, in curated form. The limits cap one micro-batch."""
     if max_files is not None and max_bytes is not None:
@@ -76,7 +76,7 @@ def ingest(
     checkpoint: str,
     every: str | None = None,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     dedup_within: str | None = None,
 ) -> StreamingQuery:
     """Start the job from landed files to the curated table at ``<curated>/<stream>``.

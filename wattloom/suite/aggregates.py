@@ -71,7 +71,7 @@ def _(s):
     return agg.temperature_per_minute(s("temperature"), as_of=AS_OF, digits=None, scale=4)
 
 
-@query("temperature_per_minute_raw", PER_MINUTE.format(at="make_timestamp(epoch_ms(timestamp) * 1000)"), ("temperature",))
+@query("temperature_per_minute_raw", PER_MINUTE.format(at="make_timestamp(epoch_us(timestamp) // 1000 * 1000)"), ("temperature",))
 def _(s):
     landed = conform(with_ms(s("temperature")), "temperature")
     return agg.temperature_per_minute(landed, as_of=AS_OF, digits=None, scale=4)
@@ -248,7 +248,7 @@ def _(s):
 
 @query(
     "active_faults_latest_raw",
-    FAULTS.format(ts="make_timestamp(epoch_ms(timestamp) * 1000)", k=10).replace("order by timestamp", "order by 1"),
+    FAULTS.format(ts="make_timestamp(epoch_us(timestamp) // 1000 * 1000)", k=10).replace("order by timestamp", "order by 1"),
     ("evse_state",),
 )
 def _(s):

@@ -96,13 +96,13 @@ def _(s):
 
 @query(
     "project_select_alias",
-    """, warm as (select device_id as device, timestamp as at, value_celsius as celsius from temperature where value_celsius >= 20)
-select device, at, celsius from warm where celsius < 60""",
+    """, warm as (select device_id as device, timestamp as seen_at, value_celsius as celsius from temperature where value_celsius >= 20)
+select device, seen_at, celsius from warm where celsius < 60""",
     ("temperature",),
 )
 def _(s):
     warm = s("temperature").where(F.col("value_celsius") >= 20)
-    warm = warm.select(F.col("device_id").alias("device"), F.col("timestamp").alias("at"), F.col("value_celsius").alias("celsius"))
+    warm = warm.select(F.col("device_id").alias("device"), F.col("timestamp").alias("seen_at"), F.col("value_celsius").alias("celsius"))
     return warm.where(F.col("celsius") < 60)
 
 

@@ -60,7 +60,7 @@ def _(s):
 
 @query(
     "epoch_ms",
-    """select device_id, epoch_ms(timestamp) as ms, make_timestamp(epoch_ms(timestamp) * 1000) as ts from temperature""",
+    """select device_id, epoch_us(timestamp) // 1000 as ms, make_timestamp(epoch_us(timestamp) // 1000 * 1000) as ts from temperature""",
     ("temperature",),
 )
 def _(s):

@@ -43,7 +43,7 @@ def _(s):
 
 @query("stream_flush_policy", f"select {at_ms('vibration')} from vibration", ("vibration",))
 def _(s):
-    return ingested(s, "vibration", max_bytes="10g")
+    return ingested(s, "vibration", max_bytes=10 << 30)
 
 
 @query("stream_bounded_run", f"select {at_ms('evse_session_event')} from evse_session_event", ("evse_session_event",))

@@ -20,7 +20,7 @@ from wattloom.suite.aggregates import COUNTS, MART
 from wattloom.suite.models import ELECTRICAL, TEMPERATURE, columns
 from wattloom.suite.registry import query
 
-MS = "make_timestamp(epoch_ms(timestamp) * 1000)"
+MS = "make_timestamp(epoch_us(timestamp) // 1000 * 1000)"
 # Batches of the append jobs: before and from this moment.
 SPLIT = "2024-01-15 12:00:00"
 
@@ -46,7 +46,7 @@ def landed(s, stream: str) -> str:
     return root
 
 
-RAW = """select device_id, epoch_ms(timestamp) as timestamp, value_celsius, unit, accuracy_pct, status,
+RAW = """select device_id, epoch_us(timestamp) // 1000 as timestamp, value_celsius, unit, accuracy_pct, status,
  cast(year(timestamp) as integer) as year, cast(month(timestamp) as integer) as month, cast(day(timestamp) as integer) as day,
  cast(hour(timestamp) as integer) as hour from temperature"""
 
