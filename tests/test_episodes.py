@@ -1,0 +1,108 @@
+"""Faults, onsets, sessions and energy on hand-built rows, with whole and with cut devices."""
+
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from wattloom.operators import episodes
+
+T0 = datetime(2024, 1, 1)
+TASK_ROWS = pytest.mark.parametrize("task_rows", [10**9, 3])
+
+
+def at(seconds):
+    return T0 + timedelta(seconds=seconds)
+
+
+def series(spark, columns, **devices):
+    rows = [(d, at(i), *(v if isinstance(v, tuple) else (v,))) for d, values in devices.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, f"device_id string, timestamp timestamp_ntz, {columns}").repartition(4)
+
+
+@TASK_ROWS
+def test_onset_latch(spark, task_rows):
+    df = series(spark, "derate_pct double", a=[None, 0.5, 1.2, 0.0, 3.0, None, 2.0], b=[5.0, 6.0, 0.2, None, 0.9])
+    got = episodes.derate_onsets(df, task_rows=task_rows).collect()
+    assert sorted((r["device_id"], r["derate_pct"]) for r in got) == [("a", 1.2), ("a", 2.0), ("b", 5.0)]
+
+
+@TASK_ROWS
+def test_fault_episodes(spark, task_rows):
+    ok, f1, f2 = (False, None), (True, "OVER_TEMP"), (True, "GROUND_FAULT")
+    df = series(
+        spark,
+        "fault_active boolean, fault_code string",
+        a=[f1, ok, f1, f2, ok, ok, f2],
+        b=[ok, ok],
+        c=[ok, (None, None), f2, f1, f1],
+    )
+    got = episodes.fault_episodes(df, task_rows=task_rows).orderBy("device_id", "episode").collect()
+    assert [(r["device_id"], r["episode"], r["start_ts"], r["end_ts"], r["samples"], r["first_fault_code"], r["recovered_at"]) for r in got] == [
+        ("a", 1, at(0), at(0), 1, "OVER_TEMP", at(1)),
+        ("a", 2, at(2), at(3), 2, "OVER_TEMP", at(4)),
+        ("a", 3, at(6), at(6), 1, "GROUND_FAULT", None),
+        ("c", 1, at(2), at(4), 3, "GROUND_FAULT", None),
+    ]
+
+
+@TASK_ROWS
+def test_state_runs(spark, task_rows):
+    df = series(spark, "state string", a=["I", "I", "C", None, None, "C", "C"], b=["I"])
+    got = episodes.state_runs(df, task_rows=task_rows).orderBy("device_id", "run").collect()
+    assert [(r["device_id"], r["run"], r["state"], r["samples"]) for r in got] == [
+        ("a", 1, "I", 2), ("a", 2, "C", 1), ("a", 3, None, 2), ("a", 4, "C", 2), ("b", 1, "I", 1),
+    ]
+
+
+def test_equal_timestamps_need_a_tie_break(spark):
+    rows = [("a", T0, 1, "X"), ("a", T0, 2, "Y"), ("a", T0, 3, "X")]
+    df = spark.createDataFrame(rows, "device_id string, timestamp timestamp_ntz, tie int, state string")
+    assert episodes.state_runs(df, order=("timestamp", "tie")).count() == 3
+
+
+def test_sessions(spark):
+    rows = [
+        ("both", "CHARGE_START", 0, 1.0, None), ("both", "CHARGE_STOP", 90, None, 4.5),
+        ("cut", "CHARGE_START", 0, 2.0, None), ("cut", "FAULT", 5, 2.5, None),
+        ("stop", "CHARGE_STOP", 9, None, 3.0),
+        ("auth", "AUTH_FAIL", 1, None, None),
+        ("back", "CHARGE_START", 50, 1.0, None), ("back", "CHARGE_STOP", 20, None, 2.0),
+        ("many", "CHARGE_START", 0, 1.0, None), ("many", "CHARGE_START", 5, 9.0, None),
+        ("many", "CHARGE_STOP", 10, None, 2.0), ("many", "CHARGE_STOP", 30, None, 6.0),
+        (None, "RECOVERED", 0, None, None),
+    ]
+    df = spark.createDataFrame(
+        [(s, e, at(t), a, b) for s, e, t, a, b in rows],
+        "session_id string, event_type string, timestamp timestamp_ntz, meter_start_kwh double, meter_end_kwh double",
+    )
+    got = {r["session_id"]: r for r in episodes.session_summary(df).collect()}
+    assert set(got) == {"both", "cut", "stop", "auth", "back", "many"}
+    facts = {k: (r["duration_s"], r["energy_delivered_kwh"], r["is_open"], r["is_invalid"], r["had_fault"]) for k, r in got.items()}
+    assert facts == {
+        "both": (90, 3.5, False, False, False),
+        "cut": (None, None, True, False, True),
+        "stop": (None, None, False, False, False),
+        "auth": (None, None, False, False, False),
+        "back": (-30, 1.0, False, True, False),
+        "many": (30, 5.0, False, False, False),
+    }
+    assert {r["session_id"] for r in episodes.pair_sessions(df).collect()} == {"both", "cut", "back", "many"}
+
+
+@TASK_ROWS
+def test_meter_energy(spark, task_rows):
+    df = series(spark, "energy_kwh_total double", a=[1.0, 2.0, 2.0, None, 5.0, 0.0, 1.5], b=[None, 7.0])
+    got = {r["device_id"]: r for r in episodes.energy_from_meter(df, task_rows=task_rows).collect()}
+    assert (got["a"]["energy_kwh"], got["a"]["resets"], got["a"]["readings"], got["a"]["day"]) == (5.5, 1, 6, date(2024, 1, 1))
+    assert (got["b"]["energy_kwh"], got["b"]["resets"]) == (0.0, 0)
+
+
+@TASK_ROWS
+@pytest.mark.parametrize("scale", [None, 4])
+def test_power_energy(spark, task_rows, scale):
+    rows = [("a", at(0), 36.0), ("a", at(10), 36.0), ("a", at(20), None), ("a", at(30), 72.0), ("a", at(10_000), 36.0)]
+    df = spark.createDataFrame(rows, "device_id string, timestamp timestamp_ntz, power_kw double")
+    got = episodes.energy_from_power(df, tick_s=100, scale=scale, task_rows=task_rows).orderBy("timestamp").collect()
+    assert [r["energy_kwh"] for r in got] == pytest.approx([1.0, 2.0, 2.0, 4.0, 5.0])
+    got = episodes.energy_from_power(df, max_gap_s=100, scale=scale, task_rows=task_rows).orderBy("timestamp").collect()
+    assert [r["energy_kwh"] for r in got] == pytest.approx([0.0, 0.1, 0.1, 0.3, 1.3])

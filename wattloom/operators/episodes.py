@@ -125,8 +125,10 @@ def energy_from_power(
         unit = 3600.0 / tick_s
     else:
         rows = previous_row(rows, ["timestamp"])
-        gap = F.least(F.timestamp_diff("MILLISECOND", F.col("prev_timestamp"), F.col("timestamp")), F.lit(max_gap_s * 1000))
-        gap = F.coalesce(gap, F.lit(0)).cast("double" if scale is None else "decimal(10,0)")
+        since = F.timestamp_diff("MILLISECOND", F.col("prev_timestamp"), F.col("timestamp"))
+        # least() skips NULL, so the first reading needs a case of its own.
+        gap = F.when(since.isNull(), F.lit(0)).otherwise(F.least(since, F.lit(max_gap_s * 1000)))
+        gap = gap.cast("double" if scale is None else "decimal(10,0)")
         rows = rows.over(rows.df.withColumn("_used", value * gap).drop("prev_timestamp"))
         unit = 3_600_000.0
     summed = running_total(rows, "_used", "_sum").result()
