@@ -106,10 +106,21 @@ def test_piece_number_matches_search(spark):
         cuts = list(range(10, 10 + 3 * n, 3))
         firsts, blocks = ordered._blocks(cuts)
         df = spark.range(0, 20 + 3 * n).select(
-            "id",
-            ordered._piece_number(
-                F.lit(firsts).cast("array<bigint>"), F.lit(blocks).cast("array<array<bigint>>"), F.col("id")
-            ).alias("p"),
+            "id", F.lit(firsts).cast("array<bigint>").alias("_firsts"), F.lit(blocks).cast("array<array<bigint>>").alias("_blocks")
         )
-        for r in df.collect():
-            assert r["p"] == sum(c <= r["id"] for c in cuts)
+        for r in ordered._with_piece(df, F.col("id")).collect():
+            assert r["_piece"] == sum(c <= r["id"] for c in cuts)
+
+
+@pytest.mark.parametrize("distinct", [1, 2, 4])
+def test_one_timestamp_may_fill_many_pieces(spark, distinct):
+    t0 = datetime(2024, 1, 1)
+    rows = [("hot", None if i % distinct == 3 else t0 + timedelta(seconds=i % distinct), i, "x", 1) for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for keys in (["device_id"], []):
+        prepared = order_rows(df, keys, ["timestamp", "tie"], 100)
+        sizes = [r["count"] for r in prepared.df.groupBy("_piece").count().collect()]
+        assert len(sizes) > 4 and max(sizes) < 700
+        got = {r["tie"]: r["s"] for r in running_total(prepared, "x", "s").result().collect()}
+        expected = sorted(rows, key=lambda r: (r[1] is not None, r[1] or t0, r[2]))
+        assert all(got[r[2]] == i + 1 for i, r in enumerate(expected))

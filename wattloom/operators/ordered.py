@@ -42,7 +42,8 @@ class OrderedRows:
 
     @property
     def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.groups).orderBy(*self.order)
+        # CUT depends on the key alone; as a window key it lets a filter on it move below the shuffle.
+        return Window.partitionBy(*self.groups, *([CUT] if self.cut else [])).orderBy(*self.order)
 
     def over(self, df: DataFrame) -> OrderedRows:
         return replace(self, df=df)
@@ -74,24 +75,38 @@ def _blocks(cuts: list) -> tuple[list, list]:
     return [b[0] for b in blocks], blocks
 
 
-def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: list) -> DataFrame:
-    order_type = T.StructType([df.schema[c] for c in order])
+def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: list) -> tuple[DataFrame, Column]:
+    """The cut points per key, and the value of a row they are compared with.
+
+    That value is the leading order column alone, which is cheap to compare, unless one of its
+    values fills more than a piece; then rows are told apart by all order columns.
+    """
+    leading = all(len({c[0] for c in r["_cuts"]}) == len(r["_cuts"]) for r in rows)
+    if leading:
+        kind, value = df.schema[order[0]].dataType, F.col(order[0])
+    else:
+        kind, value = T.StructType([df.schema[c] for c in order]), F.struct(*order)
     schema = T.StructType(
         [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
-        + [
-            T.StructField("_firsts", T.ArrayType(order_type)),
-            T.StructField("_blocks", T.ArrayType(T.ArrayType(order_type))),
-        ]
+        + [T.StructField("_firsts", T.ArrayType(kind)), T.StructField("_blocks", T.ArrayType(T.ArrayType(kind)))]
     )
-    data = [(*[r[k] for k in keys], *_blocks(r["_cuts"])) for r in rows if r["_cuts"]]
-    return df.sparkSession.createDataFrame(data, schema)
+    data = [
+        (*[r[k] for k in keys], *_blocks([c[0] for c in r["_cuts"]] if leading else r["_cuts"])) for r in rows if r["_cuts"]
+    ]
+    return df.sparkSession.createDataFrame(data, schema), value
 
 
-def _piece_number(firsts: Column, blocks: Column, value: Column) -> Column:
-    """How many cut points are at or before ``value``: first the block, then the place inside it."""
-    block = F.size(F.filter(firsts, lambda c: c <= value)) - 1
-    inside = F.size(F.filter(F.get(blocks, block), lambda c: c <= value))
-    return F.when(block < 0, F.lit(0)).otherwise(block * F.size(F.get(blocks, F.lit(0))) + inside)
+def _with_piece(df: DataFrame, value: Column) -> DataFrame:
+    """Number of cut points at or before ``value``: first the block, then the place inside it.
+
+    A leading NULL sorts first, so it belongs to piece 0, as do rows of keys that are not cut.
+    """
+    at_or_before = lambda c: c <= value
+    # A column of its own, so that the search for the block is evaluated once.
+    df = df.withColumn("_block", F.when(F.col("_firsts").isNotNull(), F.size(F.filter("_firsts", at_or_before))).otherwise(0) - 1)
+    inside = F.size(F.filter(F.get("_blocks", F.col("_block")), at_or_before))
+    number = F.when(F.col("_block") < 0, F.lit(0)).otherwise(F.col("_block") * F.size(F.get("_blocks", F.lit(0))) + inside)
+    return df.withColumn(PIECE, number).drop("_firsts", "_blocks", "_block")
 
 
 def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], task_rows: int = TASK_ROWS) -> OrderedRows:
@@ -107,12 +122,10 @@ def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], task_ro
         cuts = _sampled_cuts(df, keys, order, share, math.ceil(rows / share)) if rows > 1 else []
         if not any(r["_cuts"] for r in cuts):
             return OrderedRows(df, keys, order, False)
-        table = _cut_table(df, keys, order, cuts)
+        table, value = _cut_table(df, keys, order, cuts)
         # Scalar subqueries: evaluated once, then constants for every task.
         found = df.select("*", table.select("_firsts").scalar().alias("_firsts"), table.select("_blocks").scalar().alias("_blocks"))
-        number = _piece_number(F.col("_firsts"), F.col("_blocks"), F.struct(*order))
-        cut = found.withColumn(CUT, F.lit(True)).withColumn(PIECE, number).drop("_firsts", "_blocks")
-        return OrderedRows(cut, keys, order, True)
+        return OrderedRows(_with_piece(found.withColumn(CUT, F.lit(True)), value), keys, order, True)
 
     heavy, share = heavy_keys(df, keys, task_rows)
     if heavy is None:
@@ -123,17 +136,10 @@ def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], task_ro
     cuts = _sampled_cuts(df, keys, order, share, pieces)
     if not any(r["_cuts"] for r in cuts):
         return OrderedRows(df, keys, order, False)
-    table = _cut_table(df, keys, order, cuts)
+    table, value = _cut_table(df, keys, order, cuts)
     found = df.join(F.broadcast(table), same_keys(df, table, [(k, f"_k_{k}") for k in keys]), "left")
-    number = F.when(F.col("_firsts").isNull(), F.lit(0)).otherwise(
-        _piece_number(F.col("_firsts"), F.col("_blocks"), F.struct(*order))
-    )
-    cut = (
-        found.withColumn(CUT, F.col("_firsts").isNotNull())
-        .withColumn(PIECE, number)
-        .drop("_firsts", "_blocks", *[f"_k_{k}" for k in keys])
-    )
-    return OrderedRows(cut, keys, order, True)
+    found = found.withColumn(CUT, F.col("_firsts").isNotNull()).drop(*[f"_k_{k}" for k in keys])
+    return OrderedRows(_with_piece(found, value), keys, order, True)
 
 
 def _with_carry(rows: OrderedRows, df: DataFrame, summary: Column, carried) -> DataFrame:
