@@ -100,17 +100,31 @@ def test_append_mode_emits_finished_windows(spark):
     assert [(r["ts"], r["n"]) for r in got] == [(T0, 2)]
 
 
-def test_latch_survives_batches_and_equals_batch_result(spark):
+PARTS = [[None, 0.5, 1.2], [0.0, 3.0], [None], [2.0, 2.5]]
+
+
+@pytest.mark.parametrize("task_rows", [10**9, 1])
+def test_latch_survives_batches_and_equals_batch_result(spark, task_rows):
     root = scratch_dir(spark, "latch")
-    parts = [[None, 0.5, 1.2], [0.0, 3.0], [None], [2.0, 2.5]]
     position = 0
-    for part in parts:
+    for part in PARTS:
         land(states(spark, position, part), root, "evse_state")
         position += len(part)
         rows = ingest.landing_stream(spark, f"{root}/landing", "evse_state")
-        writer = latch.derate_onsets(rows).writeStream.option("checkpointLocation", f"{root}/checkpoint")
-        ingest.flush_policy(writer.format("parquet").option("path", f"{root}/out")).start().awaitTermination()
-    live = spark.read.parquet(f"{root}/out")
+        latch.derate_onsets(rows, f"{root}/out", f"{root}/checkpoint", task_rows=task_rows).awaitTermination()
+    live = spark.read.parquet(f"{root}/out").drop("_write_id")
     assert sorted(r["derate_pct"] for r in live.collect()) == [1.2, 2.0]
-    whole = episodes.derate_onsets(states(spark, 0, [d for part in parts for d in part]))
+    whole = episodes.derate_onsets(states(spark, 0, [d for part in PARTS for d in part]))
     assert sorted(map(tuple, live.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_latch_keeps_idle_devices_and_replays(spark):
+    path = f"{scratch_dir(spark, 'latch')}/onsets"
+    write = latch.onset_writer(path)
+    other = states(spark, 0, [5.0]).replace("d", "idle", "device_id")
+    batches = [states(spark, 0, [5.0]).unionAll(other), states(spark, 10, [6.0, None, 7.0]), other.replace(5.0, 9.0, "derate_pct")]
+    for number, batch in enumerate(batches):
+        for _ in range(2):
+            write(batch, number)
+    got = spark.read.parquet(path).collect()
+    assert sorted((r["device_id"], r["derate_pct"]) for r in got) == [("d", 5.0), ("d", 7.0), ("idle", 5.0)]

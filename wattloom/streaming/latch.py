@@ -1,42 +1,85 @@
-"""Derating onsets on a live stream: a latch per device that survives micro-batches."""
+"""Derating onsets on a live stream: a latch per device that survives micro-batches.
 
-from __future__ import annotations
+A device may bring a large part of a micro-batch, so its rows are not gathered in one task to walk
+through them. Every micro-batch is scanned with the batch operator, which cuts heavy devices; the
+latch enters the scan as one extra row per device, ahead of all others.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.rules import DERATED_FROM_PCT
+from wattloom.operators.ordered import order_rows, previous_row
+from wattloom.operators.skew import TASK_ROWS
+from wattloom.sinks.writers import WRITE_COLUMN
+from wattloom.streaming.ingest import flush_policy
+
+_LATCH = "device_id string, fired boolean"
+
+
+def latched_onsets(batch: DataFrame, latch: DataFrame, task_rows: int = TASK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Onsets of a micro-batch and the latch after it, given the latch before it.
+
+    ``batch`` holds only rows that set or reset the latch.
+    """
+    held = latch.select(
+        "device_id", F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.when(F.col("fired"), F.lit(100.0)).alias("derate_pct"),
+        F.lit(True).alias("_held"),
+    )
+    rows = held.unionByName(batch.withColumn("_held", F.lit(False)))
+    # A NULL time sorts first, so the latch is the row before a device's first reading.
+    scanned = previous_row(order_rows(rows, ["device_id"], ["timestamp"], task_rows), ["derate_pct"]).result()
+    fired = ~F.col("_held") & F.col("derate_pct").isNotNull() & F.col("prev_derate_pct").isNull()
+    onsets = scanned.where(fired).select("device_id", "timestamp", "derate_pct")
+    is_set = F.col("derate_pct").isNotNull()
+    last = F.coalesce(F.max_by(is_set, F.col("timestamp")), F.bool_or(F.when(F.col("_held"), is_set)))
+    return onsets, rows.groupBy("device_id").agg(last.alias("fired"))
+
 
+def onset_writer(path: str, limit: float = DERATED_FROM_PCT, task_rows: int = TASK_ROWS):
+    """``foreachBatch`` function that writes a micro-batch's onsets and the latch after it.
+
+    The latch alternates between two folders: a replayed batch finds what the batch before it left
+    and overwrites only what it wrote itself.
+    """
 
-def _fire(_key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(chunks), ignore_index=True).sort_values("timestamp", kind="stable")
-    fired = state.get[0] if state.exists else False
-    set_now = rows["derate_pct"].notna().to_numpy()
-    # The latch before a row is set if the row before it derated; only NULL rows and rows that count are here.
-    before = np.concatenate(([fired], set_now[:-1]))
-    state.update((bool(set_now[-1]),))
-    yield rows[set_now & ~before]
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        matter = batch.select("device_id", "timestamp", "derate_pct").where(
+            F.col("derate_pct").isNull() | (F.col("derate_pct") >= limit)
+        )
+        matter.persist()
+        try:
+            if batch_id:
+                latch = spark.read.schema(_LATCH).parquet(f"{path}_latch/slot={(batch_id - 1) % 2}")
+            else:
+                latch = spark.createDataFrame([], _LATCH)
+            onsets, after = latched_onsets(matter, latch, task_rows)
+            onsets.withColumn(WRITE_COLUMN, F.lit(f"b{batch_id}")).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(WRITE_COLUMN).parquet(path)
+            after.write.mode("overwrite").parquet(f"{path}_latch/slot={batch_id % 2}")
+        finally:
+            matter.unpersist()
 
+    return write
 
-def derate_onsets(df: DataFrame, limit: float = DERATED_FROM_PCT) -> DataFrame:
-    """First row at or above ``limit`` after each absence of derating, per device, as rows arrive.
+
+def derate_onsets(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    limit: float = DERATED_FROM_PCT,
+    task_rows: int = TASK_ROWS,
+) -> StreamingQuery:
+    """Start the job that writes, per device, the first row at or above ``limit`` after each absence of derating.
 
     Rows are put in time order within a micro-batch; a row that is late across micro-batches is taken
-    as it comes. Rows that neither set nor reset the latch are dropped before the shuffle, and what
-    one device brings per call is bounded by the trigger's file or byte limit.
+    as it comes.
     """
-    matter = df.select("device_id", "timestamp", "derate_pct").where(
-        F.col("derate_pct").isNull() | (F.col("derate_pct") >= limit)
-    )
-    return matter.groupBy("device_id").applyInPandasWithState(
-        _fire,
-        "device_id string, timestamp timestamp_ntz, derate_pct double",
-        "fired boolean",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(onset_writer(path, limit, task_rows))
+    return flush_policy(writer, every).start()

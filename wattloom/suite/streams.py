@@ -91,8 +91,7 @@ def _(s):
 
     def start() -> StreamingQuery:
         rows = ingest.landing_stream(s.spark, f"{root}/landing", "evse_state")
-        writer = latch.derate_onsets(rows).writeStream.option("checkpointLocation", f"{root}/checkpoint")
-        return ingest.flush_policy(writer.format("parquet").option("path", f"{root}/out")).start()
+        return latch.derate_onsets(rows, f"{root}/out", f"{root}/checkpoint")
 
     catch_up(s, "evse_state", f"{root}/landing", start)
-    return s.spark.read.parquet(f"{root}/out")
+    return s.spark.read.parquet(f"{root}/out").drop("_write_id")
