@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +15,8 @@ from wattloom.session import settings
 
 LAYOUT = ("year", "month", "day", "hour")
 FLUSH_HORIZON = timedelta(minutes=15)
+# Longest range whose day folders are named one by one.
+MAX_LISTED = timedelta(days=400)
 
 
 def landing_schema(stream: str) -> T.StructType:
@@ -31,10 +34,20 @@ def row_reader(spark: SparkSession):
     return settings(spark, spark__sql__parquet__enableVectorizedReader="false")
 
 
-def _epoch_ms(value: datetime | str) -> int:
+def _utc(value: datetime | str) -> datetime:
     at = datetime.fromisoformat(value) if isinstance(value, str) else value
-    at = at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at
-    return (at - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)
+    return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
+
+
+def _epoch_ms(value: datetime | str) -> int:
+    return (_utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)
+
+
+def _day_folders(start: datetime, end: datetime) -> str:
+    """Glob of the day folders from ``start`` to ``end``, numbers padded with a zero or not."""
+    days = [start.date() + timedelta(days=n) for n in range((end.date() - start.date()).days + 1)]
+    either = lambda n: f"{{{n},{n:02d}}}" if n < 10 else str(n)
+    return "{" + ",".join(f"year={d.year}/month={either(d.month)}/day={either(d.day)}" for d in days) + "}"
 
 
 def read_raw(
@@ -48,9 +61,20 @@ def read_raw(
     """Landed rows of a stream, optionally with ``start <= event time < end``.
 
     A row lies under the hour its file was flushed, up to ``horizon`` after its event time. So whole
-    hours are pruned with the widened range and rows are filtered on their own time.
+    hours are pruned with the widened range and rows are filtered on their own time. With both ends
+    given, only the range's day folders are listed, not the whole lake.
     """
-    df = spark.read.schema(landing_schema(stream)).parquet(f"{root.rstrip('/')}/{stream}")
+    base = f"{root.rstrip('/')}/{stream}"
+    reader = spark.read.schema(landing_schema(stream))
+    if start is not None and end is not None and _utc(end) - _utc(start) <= MAX_LISTED:
+        try:
+            df = reader.option("basePath", base).parquet(f"{base}/{_day_folders(_utc(start), _utc(end) + horizon)}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], landing_schema(stream))
+    else:
+        df = reader.parquet(base)
     folder_hour = F.make_timestamp_ntz(*[F.col(c) for c in LAYOUT], F.lit(0), F.lit(0).cast("decimal(16,6)"))
     if start is not None:
         df = df.where(folder_hour >= F.date_trunc("hour", moment(start)).cast("timestamp_ntz"))
