@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, differences
 
-ROWS_ONLY = {"limit_sample", "test_mart_positive"}
+ROWS_ONLY = {"limit_sample"}
 
 
 @pytest.fixture(scope="module")
@@ -30,4 +30,4 @@ def test_query(spark, sf, con, key):
 
 @pytest.mark.parametrize("key", sorted(ROWS_ONLY))
 def test_rows_only(spark, sf, key):
-    assert queries()[key](spark, sf).count() == (10 if key == "limit_sample" else 0)
+    assert queries()[key](spark, sf).count() == 10

@@ -27,24 +27,23 @@ def session_events_hourly(df: DataFrame, delay: str = "15 minutes") -> DataFrame
 
 
 def keep_current(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Maintain the complete result of a windowed aggregate under ``path``, one folder per batch.
+    """Maintain the complete result of a windowed aggregate under ``path``.
 
-    Complete mode drops no late row and grows with the number of windows, not of readings. A
-    replayed batch overwrites its own folder. For a result that only ever appends finished windows,
-    write the aggregate in append mode instead.
+    Complete mode drops no late row and grows with the number of windows, not of readings. Batches
+    take turns with two folders: a batch, replayed or not, never touches the result before it. For a
+    result that only ever appends finished windows, write the aggregate in append mode instead.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("_batch").parquet(path)
+        turn = batch.withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("_slot", F.lit(batch_id % 2))
+        turn.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_slot").parquet(path)
 
     writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
     return flush_policy(writer, every).start()
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete result; the batch number is found from the folder names."""
+    """The newest complete result."""
     table = spark.read.parquet(path)
     newest = table.agg(F.max("_batch")).scalar()
-    return table.where(F.col("_batch") == newest).drop("_batch")
+    return table.where(F.col("_batch") == newest).drop("_batch", "_slot")

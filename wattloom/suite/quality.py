@@ -11,6 +11,7 @@ from wattloom.contracts import STREAMS, allowed_values, required_columns
 from wattloom.operators import quality as dq
 from wattloom.operators import staging
 from wattloom.operators.aggregates import power_daily, union_labelled
+from wattloom.suite.aggregates import MART
 from wattloom.suite.models import ELECTRICAL
 from wattloom.suite.registry import query
 
@@ -119,9 +120,13 @@ def _(s):
     return dq.null_rate_above(s("humidity"), "relative_humidity_pct", 0.01)
 
 
-@query("test_mart_positive")
+@query(
+    "test_mart_positive",
+    f"{MART} select * from mart where avg_power_kw <= 0 or total_energy_kwh <= 0 or avg_power_kw > max_power_kw",
+    ("evse_electrical",),
+)
 def _(s):
-    mart = power_daily(staging.stage_electrical(s("evse_electrical")))
+    mart = power_daily(staging.stage_electrical(s("evse_electrical")), scale=4)
     return dq.violations(mart, dq.mart_implausible())
 
 
