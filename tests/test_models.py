@@ -109,3 +109,4 @@ def test_run_models_select_and_view(spark):
     assert run_models(spark, source, root, ["mart_evse_power_daily"])["mart_evse_power_daily"].count() == 1
     view = Model("test_view_model", ("evse_electrical",), staging.stage_electrical, materialized="view")
     assert run_models(spark, source, root, None, {"test_view_model": view})["test_view_model"].count() == 1
+    spark.catalog.dropTempView("test_view_model")

@@ -31,7 +31,8 @@ def list_schemas(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.sql(f"SHOW TABLES IN {schema}").select("tableName")
+    # The statement also names the session's temporary views.
+    return spark.sql(f"SHOW TABLES IN {schema}").where("NOT isTemporary").select("tableName")
 
 
 def describe(spark: SparkSession, table: str) -> DataFrame:

@@ -1,13 +1,15 @@
 """Writing landed files, curated tables and models.
 
 Before a partitioned write rows are rebalanced by the partition columns: the adaptive planner then
-splits an hour or day that is too large for one task and merges small ones, so neither a hot day
-nor many tiny files result.
+splits an hour or day that is too large for one task, and all rows of a small one meet in one file.
+Merging small shuffle partitions is off meanwhile: a partition value's rows are together anyway, so
+it would not save files, only make one task write many.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 from wattloom.contracts import STREAMS, table_schema
 from wattloom.functions.timestamps import DAY_COLUMN, moment, partition_columns, to_epoch_ms
+from wattloom.session import settings
 from wattloom.sources.raw import LAYOUT
 
 BATCH_COLUMN = "_batch_id"
@@ -28,6 +31,12 @@ def _parquet(df: DataFrame, mode: str, partitions: Sequence[str]) -> DataFrameWr
     return writer.partitionBy(*partitions) if partitions else writer
 
 
+def _spread(spark: SparkSession, partitions: Sequence[str]):
+    if not partitions:
+        return nullcontext()
+    return settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false")
+
+
 def write_raw(df: DataFrame, root: str, stream: str, flushed_at: datetime | str | None = None, mode: str = "append") -> str:
     """Land rows as Parquet under year/month/day/hour, event time as epoch milliseconds.
 
@@ -39,7 +48,8 @@ def write_raw(df: DataFrame, root: str, stream: str, flushed_at: datetime | str
         *[to_epoch_ms(c).alias(c) if c == "timestamp" else F.col(c) for c in df.columns], *partition_columns(filed_under)
     )
     path = f"{root.rstrip('/')}/{stream}"
-    _parquet(landed.hint("rebalance", *LAYOUT), mode, LAYOUT).save(path)
+    with _spread(df.sparkSession, LAYOUT):
+        _parquet(landed.hint("rebalance", *LAYOUT), mode, LAYOUT).save(path)
     return path
 
 
@@ -56,7 +66,8 @@ def append_curated(
         rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
         rows = rows.withColumn(COMMIT_COLUMN, moment(committed_at))
     path = f"{root.rstrip('/')}/{stream}"
-    _parquet(rows.hint("rebalance", DAY_COLUMN), "append", [DAY_COLUMN]).save(path)
+    with _spread(df.sparkSession, [DAY_COLUMN]):
+        _parquet(rows.hint("rebalance", DAY_COLUMN), "append", [DAY_COLUMN]).save(path)
     return path
 
 
@@ -72,7 +83,9 @@ def commit_batch(df: DataFrame, path: str, batch_id: int, committed_at: datetime
         .withColumn(WRITE_COLUMN, F.lit(f"b{batch_id}"))
     )
     partitions = [DAY_COLUMN, WRITE_COLUMN]
-    _parquet(rows.hint("rebalance", DAY_COLUMN), "overwrite", partitions).option("partitionOverwriteMode", "dynamic").save(path)
+    writer = _parquet(rows.hint("rebalance", DAY_COLUMN), "overwrite", partitions)
+    with _spread(df.sparkSession, partitions):
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def write_model(
@@ -83,7 +96,8 @@ def write_model(
     if cluster_by:
         rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
     # A model is replaced as a whole, also when a partition it had before is gone.
-    _parquet(rows, mode, partition_by).option("partitionOverwriteMode", "static").save(path)
+    with _spread(df.sparkSession, partition_by):
+        _parquet(rows, mode, partition_by).option("partitionOverwriteMode", "static").save(path)
     return path
 
 
@@ -101,9 +115,15 @@ def ensure_tables(spark: SparkSession, schema: str, streams: Sequence[str] = STR
 
 def insert_select(df: DataFrame, table: str) -> None:
     """``INSERT INTO table SELECT * FROM df``: columns go by position."""
-    df.write.insertInto(table, overwrite=False)
+    spark = df.sparkSession
+    # Partition columns come last in a table, whatever the rows call them.
+    count = sum(c.isPartition for c in spark.catalog.listColumns(table))
+    partitions = df.columns[len(df.columns) - count :]
+    with _spread(spark, partitions):
+        (df.hint("rebalance", *partitions) if partitions else df).write.insertInto(table, overwrite=False)
 
 
 def create_table_as(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
     """``CREATE TABLE table AS SELECT * FROM df``; fails where the table exists."""
-    _parquet(df.hint("rebalance", *partition_by) if partition_by else df, "errorifexists", partition_by).saveAsTable(table)
+    with _spread(df.sparkSession, partition_by):
+        _parquet(df.hint("rebalance", *partition_by) if partition_by else df, "errorifexists", partition_by).saveAsTable(table)
