@@ -94,13 +94,6 @@ def ingest(
     return flush_policy(writer, every).start()
 
 
-def _distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        kept = pa.TableGroupBy(table, table.column_names, use_threads=False).aggregate([])
-        yield from kept.select(table.column_names).cast(table.schema).to_batches()
-
-
 def drop_replays(df: DataFrame, within: str = "15 minutes") -> DataFrame:
     """Drop rows that are equal in every column to one seen within the delay.
 
@@ -108,5 +101,13 @@ def drop_replays(df: DataFrame, within: str = "15 minutes") -> DataFrame:
     is kept per distinct row, so equal rows meet in one task; copies inside an Arrow batch are
     dropped before that shuffle, which keeps a row that landed many times from overloading it.
     """
-    fewer = df.mapInArrow(_distinct_rows, df.schema)
+
+    # Defined here, so that it travels to the workers by value and they need not have this package.
+    def distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            kept = pa.TableGroupBy(table, table.column_names, use_threads=False).aggregate([])
+            yield from kept.select(table.column_names).cast(table.schema).to_batches()
+
+    fewer = df.mapInArrow(distinct_rows, df.schema)
     return with_event_time(fewer, within).dropDuplicatesWithinWatermark(df.columns).drop(EVENT_TIME)
