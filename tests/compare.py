@@ -16,6 +16,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
+# A check that finds nothing in good data; a unit test shows that it fires.
+NORMALLY_EMPTY = {"test_mart_positive"}
+
 TYPES = {
     "BIGINT": "bigint",
     "INTEGER": "int",
@@ -91,7 +94,7 @@ def main() -> int:
             df = run(spark, sf_dir)
             if key in sqls:
                 problems, rows = differences(df, con, sqls[key])
-                if rows == 0:
+                if rows == 0 and key not in NORMALLY_EMPTY:
                     problems.append("no rows")
             else:
                 problems, rows = [], df.count()
