@@ -7,6 +7,8 @@ space (space, tab to carriage return) and a word is a run of other characters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +35,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def as_bytes(column: Column | str) -> Column:
     return F.encode(F.col(column) if isinstance(column, str) else column, "UTF-8")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where ``body`` uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]

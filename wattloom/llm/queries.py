@@ -8,14 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.llm.common import table
 from wattloom.llm.exact_dedup import exact_dedup_report
+from wattloom.llm.line_dedup import line_report
+from wattloom.llm.quality_rules import quality_report
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +38,51 @@ ORACLES: dict[str, str] = {
         select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = min(doc_id) over w as kept, text_sha256
         from signed window w as (partition by text_sha256)
     """,
+    "op3_quality_rules": r"""
+        with words as (
+            select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+                string_split(coalesce(text, ''), chr(10)) as lines
+            from documents
+        ),
+        windows as (
+            select doc_id, i, w[i:i + 4] as five from words, unnest(generate_series(1, len(w) - 4)) as u(i) where len(w) >= 5
+        ),
+        repeats as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, five) as n from windows) where n > 1),
+        covered as (select doc_id, count(distinct i + k) as n from repeats, unnest([0, 1, 2, 3, 4]) as u(k) group by doc_id),
+        measured as (
+            select words.doc_id, len(w)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as n_symbols,
+                len(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))
+                    - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')))) as n_dup_lines,
+                coalesce(covered.n, 0) as n_repeat_words, len(lines) as n_lines
+            from words left join covered on covered.doc_id = words.doc_id
+        ),
+        judged as (
+            select *, (n_words < 10)::bigint + 2 * (100 * n_repeat_words > 20 * n_words)::bigint + 4 * (100 * n_symbols > 20 * n_words)::bigint
+                + 8 * (100 * n_dup_lines > 50 * n_lines)::bigint + 16 * (word_chars < 2 * n_words)::bigint
+                + 32 * (word_chars > 15 * n_words)::bigint as failed
+            from measured
+        )
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed % 4 > 0 as base_failed, failed = 0 as kept,
+            n_lines, failed
+        from judged
+    """,
+    "op4_line_dedup": r"""
+        with lines as (
+            select doc_id, pos, part,
+                translate(regexp_replace(part, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+                unnest(parts) with ordinality as u(part, pos)
+        ),
+        frequent as (
+            select key, max(doc_id) as last_doc from lines where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+        ),
+        marked as (
+            select lines.*, frequent.key is not null and lines.doc_id <> last_doc as gone
+            from lines left join frequent on frequent.key = lines.key
+        )
+        select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+            sha256(coalesce(string_agg(part, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+        from marked group by doc_id
+    """,
 }
