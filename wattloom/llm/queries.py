@@ -10,6 +10,7 @@ from wattloom.llm.common import table
 from wattloom.llm.exact_dedup import exact_dedup_report
 from wattloom.llm.line_dedup import line_report
 from wattloom.llm.quality_rules import quality_report
+from wattloom.llm.simhash import near_duplicate_report
 from wattloom.llm.token_files import token_file_report
 
 
@@ -25,6 +26,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_report(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op6_simhash": op6_simhash,
     "op10_token_files": op10_token_files,
 }
 
