@@ -19,7 +19,7 @@ def create(folder: str, suffix: str) -> tuple[str, BinaryIO]:
     system, path = _place(folder)
     system.create_dir(path, recursive=True)
     name = f"{uuid.uuid4().hex}{suffix}"
-    return name, system.open_output_stream(f"{path}/{name}")
+    return name, system.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def open_file(folder: str, name: str) -> BinaryIO:

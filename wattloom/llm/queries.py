@@ -12,6 +12,7 @@ from wattloom.llm.line_dedup import line_report
 from wattloom.llm.quality_rules import quality_report
 from wattloom.llm.simhash import near_duplicate_report
 from wattloom.llm.token_files import token_file_report
+from wattloom.llm.warc import warc_report
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_report(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
+    "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op10_token_files": op10_token_files,
 }
@@ -97,4 +103,16 @@ ORACLES: dict[str, str] = {
             sha256(coalesce(string_agg(part, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
         from marked group by doc_id
     """,
+    "op5_warc": r"""
+        with signed as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h from pages),
+        grouped as (select *, max(page_id) over (partition by h) as target from signed),
+        coded as (
+            select *, [('0x' || h[5 * g + 1 : 5 * g + 5])::integer for g in range(8)] as fives, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' as letters from grouped
+        )
+        select page_id, payload_bytes,
+            array_to_string([letters[(v >> 15) + 1] || letters[((v >> 10) & 31) + 1] || letters[((v >> 5) & 31) + 1] || letters[(v & 31) + 1] for v in fives], '') as payload_digest,
+            case when page_id < target then 'revisit' else 'response' end as record_type,
+            case when page_id < target then target end as refers_to
+        from coded
+    """,
 }
