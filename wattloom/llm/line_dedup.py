@@ -111,7 +111,8 @@ def drop_repeated_lines(
     runs = LineRuns()
     for batch in batches_of(found, batches):
         runs.add(batch)
-    frequent = runs.merged().where(F.col("n_docs") >= least_docs)
+    # Written, so that both sides of the join are plain exchanges, which the adaptive planner splits at a hot key.
+    frequent = written(runs.merged().where(F.col("n_docs") >= least_docs), "frequent-lines")
     dropped = found.join(frequent, HASHES).where(~F.col("doc_id").eqNullSafe(F.col("last_doc")))
     dropped = dropped.groupBy(F.col("doc_id").alias("__llm_id")).agg(F.collect_set(F.struct(*HASHES)).alias("__llm_drops"))
     both = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["__llm_id"]), "left")
