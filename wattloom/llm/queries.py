@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wattloom.llm.common import table
 from wattloom.llm.exact_dedup import exact_dedup_report
 from wattloom.llm.line_dedup import line_report
+from wattloom.llm.packing import packing_report
 from wattloom.llm.quality_rules import quality_report
 from wattloom.llm.simhash import near_duplicate_report
 from wattloom.llm.token_files import token_file_report
@@ -35,6 +36,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing_report(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"))
 
@@ -45,6 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
+    "op8_packing": op8_packing,
     "op10_token_files": op10_token_files,
 }
 
