@@ -10,6 +10,8 @@ from wattloom.llm.common import table
 from wattloom.llm.exact_dedup import exact_dedup_report
 from wattloom.llm.line_dedup import line_report
 from wattloom.llm.packing import packing_report
+from wattloom.llm.passages import repeated_passages
+from wattloom.llm.quality_model import quality_scores
 from wattloom.llm.quality_rules import quality_report
 from wattloom.llm.simhash import near_duplicate_report
 from wattloom.llm.token_files import token_file_report
@@ -20,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(table(spark, sf_dir, "documents"))
 
@@ -40,17 +46,23 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(table(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_quality_model": op2_quality_model,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op8_packing": op8_packing,
+    "op9_passages": op9_passages,
     "op10_token_files": op10_token_files,
 }
 
