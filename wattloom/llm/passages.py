@@ -9,8 +9,12 @@
    Fenwick tree over the places in the first holder.
 4. Alignment: a chain is aligned word by word, between its seeds and beyond its ends, in slices of the two texts.
    A seed is only a hint; what is reported has been compared.
-5. Passages: a document's aligned spans are merged where they touch, whichever documents they come from, since the first
-   holder may change inside a passage. Merged spans of at least ``LEAST_WORDS`` words are reported.
+5. Passages: a document's aligned spans are merged where they lie within a window of each other, whichever documents they
+   come from, since the first holder may change inside a passage. Merged spans of at least ``LEAST_WORDS`` words are reported.
+
+Known limit of linking first holders only: where the first holders of a passage's seeds each hold just a part of it, and
+only a later document holds all, the reported passage may lack a few words at its ends, and is missed if that makes it too
+short.
 
 What reaches a task at once is the links or the spans of one document: no more than its words.
 
@@ -283,6 +287,25 @@ def spans(chained: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(compare, "doc_id bigint, first_id bigint, start bigint, end bigint, equal bigint")
 
 
+def merged(parts: list[tuple[int, int, int]], least_words: int) -> list[tuple[int, int, int, list[int]]]:
+    """Spans of one document that lie within a window of each other as passages: start, end, words, first holders.
+
+    A passage needs the least length, and the least share of it must lie in spans.
+    """
+    out, at = [], 0
+    parts = sorted(parts)
+    while at < len(parts):
+        low, high, _ = parts[at]
+        covered, end = high - low, at + 1
+        while end < len(parts) and parts[end][0] <= high + WINDOW:
+            covered += max(0, parts[end][1] - max(high, parts[end][0]))
+            high, end = max(high, parts[end][1]), end + 1
+        if high - low >= least_words and covered >= LEAST_SHARE * (high - low):
+            out.append((low, high, high - low, sorted({x[2] for x in parts[at:end]})))
+        at = end
+    return out
+
+
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """One row per passage: doc_id, start_word, end_word, n_words, first_ids (documents that hold it, or parts, earlier)."""
     found = written(seed_table(docs), "seeds")
@@ -293,17 +316,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
         for batch in batches:
             rows = []
             for doc_id, parts in zip(*[c.to_pylist() for c in batch.columns]):
-                low = high = None
-                held: set[int] = set()
-                for part in [*sorted(parts, key=lambda s: (s["start"], s["end"])), None]:
-                    if part is None or high is None or part["start"] > high:
-                        if high is not None and high - low >= least_words:
-                            rows.append((doc_id, low, high, high - low, sorted(held)))
-                        if part is None:
-                            break
-                        low, high, held = part["start"], part["end"], set()
-                    high = max(high, part["end"])
-                    held.add(part["first_id"])
+                rows += [(doc_id, *found) for found in merged([(x["start"], x["end"], x["first_id"]) for x in parts], least_words)]
             if rows:
                 kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "start_word", "end_word", "n_words", "first_ids"])
