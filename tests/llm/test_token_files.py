@@ -18,22 +18,43 @@ def reference_ids(text):
     return [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+WORDS = ["the", "The,", "THE.", "it's.", "we'll,", "é.", "É,", "İ.", "Σ,", "a***", "b$$$", "c!!", "d'.", "<|endoftext|>.", "x<|", "x1.", "ẞ,", "ÀÉÎ", "ŒUVRE,", "ſ.", "ŉ", "Ñandú-", "ß.", "e\u0301.", "ﬁ,", "Ǆ.", "字,", "a.b,", "'ll.", "K."]
+
+
+@given(st.lists(st.sampled_from(WORDS), max_size=12).flatmap(lambda w: st.sampled_from([" ".join(w), "".join(w), "\n".join(w)])))
+@settings(max_examples=300, deadline=None)
+def test_pieces_give_the_ids_of_the_text(text):
+    assert np.frombuffer(Encoder.of(default_path()).encode([text.encode()])[0], "<u2").tolist() == reference_ids(text)
+
+
 @given(st.text(alphabet=st.sampled_from("aBé'st ll\n\t\x0b́  Σσς1２#<|>endoftxrg🙂İ字"), max_size=60))
 @settings(max_examples=300, deadline=None)
 def test_chunks_give_the_ids_of_the_text(text):
-    assert np.frombuffer(Encoder.of(default_path()).encode([text])[0], "<u2").tolist() == reference_ids(text)
+    assert np.frombuffer(Encoder.of(default_path()).encode([text.encode()])[0], "<u2").tolist() == reference_ids(text)
+
+
+def test_other_tokenizers_get_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "Hello  there,\n world. "
+    ids = np.frombuffer(Encoder.of(path).encode([text.encode()])[0], "<u2").tolist()
+    assert not Encoder.of(path).by_words and Encoder.of(default_path()).by_words
+    assert ids == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
 
 
 def test_special_strings_and_full_cache(monkeypatch):
-    monkeypatch.setattr("wattloom.llm.tokens.CACHED_CHUNKS", 3)
+    monkeypatch.setattr("wattloom.llm.tokens.CACHED", 3)
     encoder = Encoder(default_path())
     texts = ["one two three four five", "<|endoftext|>a b<|startoftext|> c", "two six one", ""]
-    for text, ids in zip(texts * 2, encoder.encode(texts) + encoder.encode(texts)):
+    data = [text.encode() for text in texts]
+    for text, ids in zip([texts[3], *texts, *texts], encoder.encode(data[3:]) + encoder.encode(data) + encoder.encode(data)):
         assert np.frombuffer(ids, "<u2").tolist() == reference_ids(text)
-    assert len(encoder.known) <= 3
+    assert len(encoder.chunks) <= 3 and len(encoder.words) <= 3 and len(encoder.others) <= 3
 
 
-@pytest.mark.parametrize("n", [1, 5, 511, 512, 513, 70_000])
+@pytest.mark.parametrize("n", [1, 5, 1023, 1024, 1025, 140_000])
 def test_coding_round_trip_and_checkpoints(n):
     rng = np.random.default_rng(n)
     ids = np.minimum(rng.zipf(1.3, n), 49_000).astype(np.uint32)
@@ -48,7 +69,7 @@ def test_coding_round_trip_and_checkpoints(n):
 def test_one_symbol_costs_almost_nothing():
     ids = np.zeros(100_000, np.uint32)
     words, places, states = encode_ids(ids, Model.fit(np.array([5])))
-    assert len(words) == 0 and len(decode_steps(len(ids), 512, 0, 196, words, 0, states[0], Model.fit(np.array([5])))[0]) == 100_000
+    assert len(words) == 0 and len(decode_steps(len(ids), 1024, 0, 98, words, 0, states[0], Model.fit(np.array([5])))[0]) == 100_000
 
 
 def test_damage_is_found():

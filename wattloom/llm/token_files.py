@@ -33,8 +33,8 @@ from wattloom.llm.files import create, open_file
 from wattloom.llm.tokens import END_ID, default_path, tokenized, unpacked
 from wattloom.session import scratch_dir, shuffle_partitions
 
-BLOCK_TOKENS = 1 << 18
-LANES = 512
+BLOCK_TOKENS = 1 << 19
+LANES = 1024
 CHECKPOINT_STEPS = 128
 PRECISION = 20
 MAGIC = b"RANSBLK1"

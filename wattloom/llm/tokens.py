@@ -1,13 +1,19 @@
 """Token ids of whole texts, computed once per distinct word of a worker.
 
 The tokenizer splits at white space before anything else and none of its steps looks across it, so the ids of a text are
-those of its ASCII-space-separated chunks, one after the other. Each worker keeps the ids of the chunks it met, up to a
-bound on their number, and gives only unknown chunks to the tokenizer.
+those of its chunks between ASCII white space, one after the other. A chunk that ends in punctuation after a letter is
+cut there, as the tokenizer does, and ASCII letters are lower-cased, as the tokenizer does. Each worker keeps the ids of
+chunks and of their pieces, up to a bound on their number, and gives only unknown pieces to the tokenizer: plain Latin
+words straight to its model, all else to the whole tokenizer. A tokenizer of another make is given whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -18,9 +24,15 @@ from pyspark.sql import DataFrame
 from wattloom.llm.common import text_of
 
 END_ID = 2
-CACHED_CHUNKS = 300_000
-_SPLIT = bytes([32, 9, 10, 11, 12, 13]).decode()
-_TO_SPACE = str.maketrans(dict.fromkeys(_SPLIT, " "))
+CACHED = 400_000
+# Latin letters whose lower case is one letter, then ASCII signs that are no letter, digit, apostrophe or control.
+_PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
+# How byte-level models write bytes as characters: printable ones as they are, all others from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_WRITTEN = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b not in _PRINTED)}
+# What the tokenizer must do with a text for the rules above to hold.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _encoders: dict[str, Encoder] = {}
 
 
@@ -30,8 +42,43 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def pieces(chunk: bytes) -> tuple[str, str]:
+    """The plain word that a chunk starts with, in lower case, and what follows it; their ids are the chunk's."""
+    text = chunk.decode()
+    if found := _PLAIN.fullmatch(text):
+        return found[1].lower(), found[2]
+    return "", text
+
+
+def splits_like_words(tokenizer) -> bool:
+    """Whether a tokenizer treats texts as described above."""
+    made = json.loads(tokenizer.to_str())
+    parts = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        [n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])] == _NORMALIZERS
+        and [p["type"] for p in parts] == ["Split", "ByteLevel"]
+        and parts[0]["pattern"] == {"Regex": _PATTERN}
+        and not parts[1]["add_prefix_space"]
+        and not any(t["lstrip"] or t["rstrip"] or any(c.isspace() for c in t["content"]) or t["content"][0] != "<" for t in made["added_tokens"])
+    )
+
+
+class _Known(dict):
+    """Ids kept for later batches, and those of the present one for which there is no room."""
+
+    fresh: dict = {}
+
+    def __missing__(self, key):
+        return self.fresh[key]
+
+    def learn(self, fresh: dict) -> None:
+        self.fresh = fresh
+        if len(self) + len(fresh) <= CACHED:
+            self.update(fresh)
+
+
 class Encoder:
-    """Texts to little-endian ids of ``width`` bytes each."""
+    """Texts in UTF-8 to little-endian ids."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -39,7 +86,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {"": b""}
+        self.by_words, self.model = splits_like_words(self.tokenizer), self.tokenizer.model
+        self.chunks, self.words, self.others = _Known(), _Known(), _Known()
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -47,32 +95,32 @@ class Encoder:
             _encoders[path] = Encoder(path)
         return _encoders[path]
 
-    def encode(self, texts: list[str], end_id: int = END_ID) -> list[bytes]:
-        chunked = [text.translate(_TO_SPACE).split(" ") for text in texts]
-        missing = list({chunk for chunks in chunked for chunk in chunks if chunk not in self.known})
-        found = self.known
-        if missing:
-            ids = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            fresh = {chunk: np.array(e.ids, self.dtype).tobytes() for chunk, e in zip(missing, ids)}
-            if len(self.known) + len(fresh) > CACHED_CHUNKS:
-                room = max(0, CACHED_CHUNKS - len(self.known))
-                self.known.update(list(fresh.items())[:room])
-                found = _Both(self.known, fresh)
-            else:
-                self.known.update(fresh)
-        end = np.array([end_id], self.dtype).tobytes()
-        return [b"".join(map(found.__getitem__, chunks)) + end for chunks in chunked]
-
-
-class _Both(dict):
-    """Chunks of this batch that found no room, beside the kept ones."""
-
-    def __init__(self, known: dict[str, bytes], fresh: dict[str, bytes]):
-        super().__init__(fresh)
-        self.known = known
-
-    def __missing__(self, chunk: str) -> bytes:
-        return self.known[chunk]
+    def _bytes(self, ids: list[int]) -> bytes:
+        out = array("H" if self.dtype.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self._bytes(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, word: str) -> bytes:
+        return self._bytes([t.id for t in self.model.tokenize(word.encode().decode("latin-1").translate(_WRITTEN))])
+
+    def encode(self, texts: list[bytes], end_id: int = END_ID) -> list[bytes]:
+        end = self._bytes([end_id])
+        if not self.by_words:
+            return [ids + end for ids in self._whole([text.decode() for text in texts])]
+        chunked = [text.split() for text in texts]
+        cut = {chunk: pieces(chunk) for chunk in set().union(*chunked) if chunk not in self.chunks}
+        self.words.learn({word: self._word(word) for word in {word for word, _ in cut.values()} if word and word not in self.words})
+        rest = list({other for _, other in cut.values() if other and other not in self.others})
+        self.others.learn(dict(zip(rest, self._whole(rest))))
+        self.chunks.learn(
+            {c: (self.words[word] if word else b"") + (self.others[other] if other else b"") for c, (word, other) in cut.items()}
+        )
+        chunk_of = self.chunks.__getitem__
+        return [b"".join(map(chunk_of, chunks)) + end for chunks in chunked]
 
 
 def packed(ids: bytes) -> bytes:
@@ -85,14 +133,14 @@ def unpacked(data: bytes, dtype: str) -> np.ndarray:
 
 def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, the columns ``keep``, n_tokens (with the end id), dtype, and ids: packed little-endian ids of the whole text."""
-    source = docs.select("doc_id", *keep, text_of().alias("__llm_text"))
+    source = docs.select("doc_id", *keep, text_of().cast("binary").alias("__llm_text"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__llm_text")
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(path)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
                 ids = encoder.encode(part.column("__llm_text").to_pylist(), end_id)
                 names = [n for n in part.schema.names if n != "__llm_text"]
                 yield pa.RecordBatch.from_arrays(
