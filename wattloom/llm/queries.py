@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from wattloom.llm.common import table
 from wattloom.llm.exact_dedup import exact_dedup_report
 from wattloom.llm.line_dedup import line_report
+from wattloom.llm.mixing import mixing_report
 from wattloom.llm.packing import packing_report
 from wattloom.llm.passages import repeated_passages
 from wattloom.llm.quality_model import quality_scores
@@ -42,6 +43,21 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+# Domains are the languages, as the documents listed in labels have them; the target weights are in tokens.
+DOMAIN_WEIGHTS = {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labelled table: doc_id and domain of the documents listed in labels."""
+    listed = labels.select("doc_id").where("doc_id is not null").distinct()
+    return docs.select("doc_id", "lang").join(listed, "doc_id", "left_semi").withColumnRenamed("lang", "domain")
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing_report(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), DOMAIN_WEIGHTS)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing_report(table(spark, sf_dir, "documents"))
 
@@ -61,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": op4_line_dedup,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
+    "op7_mixing": op7_mixing,
     "op8_packing": op8_packing,
     "op9_passages": op9_passages,
     "op10_token_files": op10_token_files,
