@@ -108,7 +108,7 @@ def linked_fingerprints(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
     pairs = coded.select("trie", prefix(F.col("code"), top).alias("a")).distinct().select("trie", "a", F.col("a").alias("b"), F.lit(0).alias("err"))
     for depth in range(top, 64, STEP):
         below = coded.select("trie", prefix(F.col("code"), depth).alias("node"), prefix(F.col("code"), depth + STEP).alias("child"), "code")
-        below = below.groupBy("trie", "node", "child").agg(F.count(F.lit(1)).alias("n"))
+        below = written(below.groupBy("trie", "node", "child").agg(F.count(F.lit(1)).alias("n")), "trie-level")
         left = below.select("trie", F.col("node").alias("a"), F.col("child").alias("ca"), F.col("n").alias("na"))
         right = below.select(F.col("trie").alias("t"), F.col("node").alias("nb"), F.col("child").alias("cb"))
         met = pairs.join(left, ["trie", "a"])
@@ -116,24 +116,25 @@ def linked_fingerprints(fps: DataFrame, budget: int = BUDGET) -> DataFrame:
         ordered = (F.col("a") != F.col("b")) | (F.col("ca") < F.col("cb")) | ((F.col("ca") == F.col("cb")) & (F.col("na") > 1))
         met = met.join(right, (met["trie"] == right["t"]) & (met["b"] == right["nb"]) & (err <= budget) & ordered)
         pairs = met.select("trie", F.col("ca").alias("a"), F.col("cb").alias("b"), err.cast("int").alias("err"))
-    pairs = pairs.where("a <> b")
-    found = [decoded(pairs.where(F.col("trie") == t), t) for t in range(len(TRIES))]
-    return reduce(DataFrame.unionAll, found)
+    return decoded(written(pairs.where("a <> b"), "trie-pairs"))
 
 
-def decoded(pairs: DataFrame, trie: int) -> DataFrame:
-    """The pairs of one trie as fingerprints, without those that an earlier trie reports."""
-    order = [*TRIES[trie], *[k for k in range(4) if k not in TRIES[trie]]]
+def decoded(pairs: DataFrame) -> DataFrame:
+    """Node pairs of full depth as fingerprints, without those that an earlier trie reports."""
 
     def back(code: Column) -> Column:
-        parts = [F.shiftleft(quarter(code, i), QUARTER * (3 - k)) for i, k in enumerate(order)]
-        return reduce(lambda x, y: x.bitwiseOR(y), parts)
-
-    out = pairs.select(back(F.col("a")).alias("a"), back(F.col("b")).alias("b"))
-    for earlier in TRIES[:trie]:
-        agree = reduce(lambda x, y: x & y, [quarter(F.col("a"), k) == quarter(F.col("b"), k) for k in earlier])
-        out = out.where(~agree)
-    return out
+        out = None
+        for trie, top in enumerate(TRIES):
+            order = [*top, *[k for k in range(4) if k not in top]]
+            parts = [F.shiftleft(quarter(code, i), QUARTER * (3 - k)) for i, k in enumerate(order)]
+            value = reduce(lambda x, y: x.bitwiseOR(y), parts)
+            out = F.when(F.col("trie") == trie, value) if out is None else out.when(F.col("trie") == trie, value)
+        return out
+
+    out = pairs.select("trie", back(F.col("a")).alias("a"), back(F.col("b")).alias("b"))
+    same = [quarter(F.col("a"), k) == quarter(F.col("b"), k) for k in range(4)]
+    earlier = reduce(lambda x, y: x | y, [(F.col("trie") > t) & same[i] & same[j] for t, (i, j) in enumerate(TRIES)])
+    return out.where(~earlier).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
