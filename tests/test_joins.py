@@ -18,7 +18,7 @@ def sides(spark):
 def test_same_rows_on_every_path(spark, how):
     big, small = sides(spark)
     expected = sorted(map(str, big.join(small, "k", how).collect()))
-    paths = {"broadcast": {}, "shuffle": {"broadcast_rows": 3}, "salted": {"broadcast_rows": 3, "task_rows": 20}}
+    paths = {"planner": {}, "salted": {"task_rows": 20}}
     for name, limits in paths.items():
         joined = lookup_join(big, small, ["k"], how, **limits)
         assert sorted(map(str, joined.collect())) == expected, name
@@ -28,8 +28,16 @@ def test_same_rows_on_every_path(spark, how):
 
 def test_salts_spread_the_heavy_key(spark):
     big, small = sides(spark)
-    plan = lookup_join(big, small, ["k"], broadcast_rows=3, task_rows=20)._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan
+    plan = lookup_join(big, small, ["k"], task_rows=20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" in plan
+
+
+def test_null_keys_match_where_asked(spark):
+    big, small = sides(spark)
+    small = small.unionAll(spark.createDataFrame([(None, "N")], small.schema))
+    for limits in ({}, {"task_rows": 20}):
+        named = lookup_join(big, small, ["k"], null_safe=True, **limits)
+        assert named.where("name = 'N'").count() == 100 and named.count() == big.count()
 
 
 def test_enrichment_keeps_stream_columns(spark):

@@ -68,13 +68,13 @@ def test_not_increasing(spark, task_rows):
     assert sorted((r["x"], r["prev_x"]) for r in everything) == [(0, 10), (4, 7), (5, 10)]
 
 
-@pytest.mark.parametrize("limit", [200_000, 0])
-def test_outliers(spark, limit):
-    rows = [("a", float(v)) for v in [1] * 20 + [100]] + [("b", 5.0), ("c", None)] + [(None, 3.0)]
+@pytest.mark.parametrize("limits", [{}, {"task_rows": 5}])
+def test_outliers(spark, limits):
+    rows = [("a", float(v)) for v in [1] * 20 + [100]] + [("b", 5.0), ("c", None)] + [(None, float(v)) for v in [3] * 20 + [90]]
     df = spark.createDataFrame(rows, "device_id string, x double")
     for scale in (None, 4):
-        got = dq.outliers(df, "x", 3.0, scale=scale, broadcast_rows=limit, task_rows=5).collect()
-        assert [(r["device_id"], r["x"]) for r in got] == [("a", 100.0)]
+        got = dq.outliers(df, "x", 3.0, scale=scale, **limits).collect()
+        assert sorted((r["device_id"] or "", r["x"]) for r in got) == [("", 90.0), ("a", 100.0)]
 
 
 def test_contract(spark):
@@ -118,3 +118,22 @@ def test_standard_checks_fire(spark):
     assert [r["power_kw"] for r in dq.violations(electrical, dq.power_implausible()).collect()] == [10.0, 30.0]
     temperature = spark.createDataFrame([(125.0, "C"), (125.1, "C"), (-40.1, "C"), (1.0, None)], "value_celsius double, unit string")
     assert dq.violations(temperature, dq.temperature_out_of_limits()).count() == 3
+
+
+def test_missing_and_mistyped_columns_break_the_contract(spark):
+    from wattloom.contracts import table_schema
+
+    schema = table_schema("temperature")
+    rows = spark.createDataFrame([("d", None, 1.0, "C", None, "NORMAL")] * 3, schema)
+    found = {(r.column_name, r.rule): r.violations for r in dq.validate_contract(rows.drop("device_id"), "temperature").collect()}
+    assert found["device_id", "required"] == 3 and found["timestamp", "required"] == 3
+    assert not any(rule == "type" for _, rule in found)
+    mistyped = dq.validate_contract(rows.withColumn("value_celsius", rows.value_celsius.cast("string")), "temperature").collect()
+    assert [(r.column_name, r.violations) for r in mistyped if r.rule == "type"] == [("value_celsius", 3)]
+
+
+def test_checks_by_tag_and_name():
+    checks = [dq.Check("a", "t", dq.missing("x")), dq.Check("b", "t", dq.missing("x"), tag="hourly")]
+    assert [c.name for c in dq.select_checks(checks, tags=["hourly"])] == ["b"]
+    assert [c.name for c in dq.select_checks(checks, names=["a", "b"], tags=["daily"])] == ["a"]
+    assert dq.select_checks(checks) == checks

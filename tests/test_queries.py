@@ -6,8 +6,6 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, differences
 from wattloom.suite import CASES
 
-ROWS_ONLY = {"limit_sample"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_path="/root/testdata/sf0.001"):
@@ -15,7 +13,7 @@ def con(sf_path="/root/testdata/sf0.001"):
 
 
 def test_registry():
-    assert set(oracle_sql()) & set(CASES) == set(CASES) - ROWS_ONLY
+    assert set(oracle_sql()) & set(CASES) == set(CASES)
     assert set(CASES) <= set(queries())
 
 
@@ -28,8 +26,3 @@ def test_entry(spark):
 def test_query(spark, sf, con, key):
     problems, _ = differences(queries()[key](spark, sf), con, oracle_sql()[key])
     assert problems == []
-
-
-@pytest.mark.parametrize("key", sorted(ROWS_ONLY))
-def test_rows_only(spark, sf, key):
-    assert queries()[key](spark, sf).count() == 10

@@ -83,3 +83,8 @@ def test_exact_sums_do_not_depend_on_order(spark):
     assert row["t"] == 1.0 and row["m"] == 1.0 / 12
     empty = df.where("false").select(total("x", 4).alias("t"), mean("x", 4).alias("m"), ratio(F.count("x"), F.count("x")).alias("r")).first()
     assert (empty["t"], empty["m"], empty["r"]) == (None, None, None)
+
+
+def test_derating_needs_a_range():
+    with pytest.raises(ValueError):
+        rules.derate_percent(F.lit(50.0), start=60.0, full=60.0)

@@ -34,7 +34,9 @@ def derate_percent(
 
     ``active`` limits it to connectors that charge without a fault.
     """
-    ramp = (cabinet_c - F.lit(start)) * 100.0 / max(1e-6, full - start)
+    if full <= start:
+        raise ValueError("full derating needs a higher temperature than its start")
+    ramp = (cabinet_c - F.lit(start)) * 100.0 / (full - start)
     if digits is not None:
         ramp = F.round(ramp, digits)
     level = F.when(cabinet_c >= full, F.lit(100.0)).when(cabinet_c >= start, ramp)

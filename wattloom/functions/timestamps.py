@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,26 +11,38 @@ DAY_COLUMN = "timestamp_day"
 
 
 def moment(value: datetime | str | Column | None) -> Column:
-    """A zone-less timestamp; ``None`` is now."""
+    """A zone-less UTC timestamp; ``None`` is now. No conversion here depends on the session's zone."""
     if value is None:
-        return F.localtimestamp()
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def day_of(df: DataFrame, column: str = "timestamp") -> Column:
+    """The day of a row: the table's partition column where it has one, so that filters on the day prune."""
+    return F.col(DAY_COLUMN) if column == "timestamp" and DAY_COLUMN in df.columns else F.to_date(column)
+
+
 def bucket(unit: str, column: str | Column) -> Column:
     """Start of the minute, hour, day ... a zone-less timestamp falls in."""
     return F.date_trunc(unit, column).cast("timestamp_ntz")
 
 
 def from_epoch_ms(column: str | Column) -> Column:
-    return F.timestamp_millis(column).cast("timestamp_ntz")
+    column = F.col(column) if isinstance(column, str) else column
+    return F.timestamp_add("MILLISECOND", column.cast("long"), epoch())
 
 
 def to_epoch_ms(column: str | Column) -> Column:
     column = F.col(column) if isinstance(column, str) else column
-    return F.unix_millis(column.cast("timestamp"))
+    return F.floor(F.timestamp_diff("MICROSECOND", epoch(), column) / F.lit(1000).cast("decimal(4,0)")).cast("long")
 
 
 def partition_columns(column: str | Column) -> list[Column]:
@@ -67,10 +79,20 @@ def time_range(
 
 
 def recent(df: DataFrame, span: timedelta, as_of: datetime | str | None = None, column: str = "timestamp") -> DataFrame:
-    """Rows no older than ``span`` before ``as_of``."""
-    return time_range(df, start=moment(as_of) - F.lit(span), column=column)
+    """Rows no older than ``span`` before ``as_of``, and none after it."""
+    return _until(time_range(df, start=moment(as_of) - F.lit(span), column=column), as_of, column)
 
 
 def since_midnight(df: DataFrame, days: int = 0, as_of: datetime | str | None = None, column: str = "timestamp") -> DataFrame:
-    """Rows since 00:00 of the day ``days`` before ``as_of``."""
-    return time_range(df, start=F.date_sub(F.to_date(moment(as_of)), days).cast("timestamp_ntz"), column=column)
+    """Rows since 00:00 of the day ``days`` before ``as_of``, and none after it."""
+    start = F.date_sub(F.to_date(moment(as_of)), days).cast("timestamp_ntz")
+    return _until(time_range(df, start=start, column=column), as_of, column)
+
+
+def _until(df: DataFrame, as_of: datetime | str | None, column: str) -> DataFrame:
+    """Seen at ``as_of``, later rows do not exist yet; with now as the moment there are none to leave out."""
+    if as_of is None:
+        return df
+    if column == "timestamp" and DAY_COLUMN in df.columns:
+        df = df.where(F.col(DAY_COLUMN) <= F.to_date(moment(as_of)))
+    return df.where(F.col(column) <= moment(as_of))

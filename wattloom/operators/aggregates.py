@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.numbers import mean, rounded, total
-from wattloom.functions.timestamps import bucket, moment, recent, since_midnight
+from wattloom.functions.hashing import row_hash
+from wattloom.functions.timestamps import bucket, day_of, moment, recent, since_midnight
 from wattloom.operators.filters import keep_device
 from wattloom.sources.tables import tag_rows
 
@@ -45,14 +46,15 @@ def power_daily(staged: DataFrame, scale: int | None = None) -> DataFrame:
         "max_derate_pct": F.max("derate_pct"),
     }
     active = staged.where(F.col("power_kw") > 0)
-    return active.groupBy(F.to_date("timestamp").alias("day"), "device_id", "asset_id").agg(
+    return active.groupBy(day_of(staged).alias("day"), "device_id", "asset_id").agg(
         *[column.alias(name) for name, column in measures.items()]
     )
 
 
 def mart_recent_days(mart: DataFrame, days: int = 7, as_of: AsOf = None, scale: int | None = None) -> DataFrame:
     """Mart rows of the last days per day and device, newest and largest first."""
-    kept = mart.where(F.col("day") >= F.date_sub(F.to_date(moment(as_of)), days))
+    today = F.to_date(moment(as_of))
+    kept = mart.where(F.col("day").between(F.date_sub(today, days), today))
     return (
         kept.groupBy("day", "device_id")
         .agg(
@@ -209,18 +211,17 @@ def reconcile(raw: Mapping[str, DataFrame], curated: Mapping[str, DataFrame]) ->
 def reconcile_days(raw: DataFrame, curated: DataFrame) -> DataFrame:
     """Days on which two conformed representations differ in row count or content.
 
-    Content is a sum of row hashes, so neither side is sorted or joined row by row.
+    Content is a sum of row hashes in which a NULL has a place of its own, so neither side is sorted or joined row by row.
     """
     columns = curated.columns
 
     def per_day(df: DataFrame, sign: int) -> DataFrame:
         return df.groupBy(F.to_date("timestamp").alias("day")).agg(
             (F.count(F.lit(1)) * sign).alias("rows"),
-            (F.sum(F.xxhash64(*columns).cast("decimal(20,0)")) * sign).alias("content"),
+            (F.sum(row_hash(columns)) * sign).alias("content"),
         )
 
     both = per_day(raw.select(*columns), 1).unionByName(per_day(curated, -1))
     summed = both.groupBy("day").agg(F.sum("rows").alias("row_difference"), F.sum("content").alias("content_difference"))
-    return summed.where((F.col("row_difference") != 0) | (F.col("content_difference") != 0)).select(
-        "day", "row_difference"
-    )
+    summed = summed.withColumn("content_differs", F.col("content_difference") != 0)
+    return summed.where((F.col("row_difference") != 0) | F.col("content_differs")).select("day", "row_difference", "content_differs")

@@ -108,14 +108,14 @@ def energy_from_power(
     keys: Sequence[str] = DEVICE,
     order: Sequence[str] = ("timestamp",),
     tick_s: float | None = None,
-    max_gap_s: int = 300,
+    max_gap_s: int | None = None,
     scale: int | None = None,
     task_rows: int = TASK_ROWS,
 ) -> DataFrame:
     """Running energy in kWh per connector.
 
     A reading stands for ``tick_s`` seconds, or, without it, for the time since the reading before
-    (milliseconds, at most ``max_gap_s`` seconds, nothing for the first one).
+    (milliseconds, at most ``max_gap_s`` seconds if given, nothing for the first one).
     """
     value = F.col("power_kw") if scale is None else fixed("power_kw", scale)
     needed = df.select(*dict.fromkeys([*keys, *order, "power_kw"]))
@@ -127,7 +127,8 @@ def energy_from_power(
         rows = previous_row(rows, ["timestamp"])
         since = F.timestamp_diff("MILLISECOND", F.col("prev_timestamp"), F.col("timestamp"))
         # least() skips NULL, so the first reading needs a case of its own.
-        gap = F.when(since.isNull(), F.lit(0)).otherwise(F.least(since, F.lit(max_gap_s * 1000)))
+        used = since if max_gap_s is None else F.least(since, F.lit(max_gap_s * 1000))
+        gap = F.when(since.isNull(), F.lit(0)).otherwise(used)
         gap = gap.cast("double" if scale is None else "decimal(10,0)")
         rows = rows.over(rows.df.withColumn("_used", value * gap).drop("prev_timestamp"))
         unit = 3_600_000.0

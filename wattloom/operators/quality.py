@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.contracts import allowed_values, required_columns
+from wattloom.contracts import allowed_values, required_columns, table_schema
 from wattloom.functions.numbers import ratio
 from wattloom.functions.timestamps import moment
 from wattloom.operators.joins import lookup_join
@@ -145,16 +145,25 @@ def outliers(
         centre = F.try_divide(s1, n)
         spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(s2 - F.try_divide(s1 * s1, n), n - 1)))
     stats = df.groupBy(*keys).agg(centre.alias("mean"), spread.alias("stddev"))
-    joined = lookup_join(df.where(F.col(column).isNotNull()), stats, keys, "left", **limits)
+    joined = lookup_join(df.where(F.col(column).isNotNull()), stats, keys, "left", null_safe=True, **limits)
     return joined.where(F.abs(F.col(column) - F.col("mean")) > F.lit(k) * F.col("stddev"))
 
 
 def validate_contract(df: DataFrame, stream: str) -> DataFrame:
-    """Violations per column and rule (missing value, value outside the enumeration), in one pass."""
+    """Violations per column and rule (missing value, value outside the enumeration), in one pass.
+
+    A required column that the table lacks is missing in all its rows. A column of another type than the contract's
+    adds a rule of its own, which all rows violate.
+    """
     rules: list[tuple[str, str, Column]] = [
-        (c, "required", F.col(c).isNull()) for c in required_columns(stream) if c in df.columns
+        (c, "required", F.col(c).isNull() if c in df.columns else F.lit(True)) for c in required_columns(stream)
+    ]
+    rules += [(c, "enum", ~F.col(c).isin(*values)) for c, values in allowed_values(stream).items() if c in df.columns]
+    rules += [
+        (f.name, "type", F.lit(True))
+        for f in table_schema(stream)
+        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
     ]
-    rules += [(c, "enum", ~F.col(c).isin(*values)) for c, values in allowed_values(stream).items()]
     return count_violations(df, {f"{c}|{rule}": p for c, rule, p in rules}).select(
         F.split_part("name", F.lit("|"), F.lit(1)).alias("column_name"),
         F.split_part("name", F.lit("|"), F.lit(2)).alias("rule"),
@@ -184,6 +193,11 @@ class Check:
     tag: str = "daily"
 
 
+def select_checks(checks: Sequence[Check], tags: Sequence[str] | None = None, names: Sequence[str] | None = None) -> list[Check]:
+    """The checks with one of the tags and one of the names, where these are given."""
+    return [c for c in checks if (tags is None or c.tag in tags) and (names is None or c.name in names)]
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Report of (name, severity, tag, failures, status), one row per check.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wattloom.contracts import STREAMS
 from wattloom.functions.timestamps import to_epoch_ms
+from wattloom.functions.hashing import row_hash
 from wattloom.operators import aggregates as agg
 from wattloom.operators import latest, staging
 from wattloom.sources.raw import conform
@@ -195,7 +196,7 @@ def _(s):
 
 @query(
     "reconcile_days",
-    """select cast(timestamp as date) as day, count(*) - count(power_kw) as row_difference from evse_electrical
+    """select cast(timestamp as date) as day, count(*) - count(power_kw) as row_difference, true as content_differs from evse_electrical
 group by 1 having count(*) <> count(power_kw)""",
     ("evse_electrical",),
 )
@@ -204,6 +205,21 @@ def _(s):
     return agg.reconcile_days(electrical, electrical.where(F.col("power_kw").isNotNull()))
 
 
+@query(
+    "reconcile_days_content",
+    """select cast(timestamp as date) as day, cast(0 as bigint) as row_difference, true as content_differs from evse_session_event
+where meter_start_kwh is not null and meter_end_kwh is null group by 1""",
+    ("evse_session_event",),
+)
+def _(s):
+    # Equal counts: the curated side has every start reading moved to the end column.
+    events = s("evse_session_event")
+    alone = F.col("meter_start_kwh").isNotNull() & F.col("meter_end_kwh").isNull()
+    end = F.when(alone, F.col("meter_start_kwh")).otherwise(F.col("meter_end_kwh"))
+    moved = events.withColumns({"meter_end_kwh": end, "meter_start_kwh": F.when(~alone, F.col("meter_start_kwh"))})
+    return agg.reconcile_days(events, moved)
+
+
 @query("count_table", "select count(*) as n from temperature", ("temperature",))
 def _(s):
     return agg.count_rows(s("temperature"))
@@ -255,6 +271,11 @@ def _(s):
     return latest.latest_faults(conform(with_ms(s("evse_state")), "evse_state"), 10)
 
 
-@query("limit_sample")
+@query("limit_sample", "select cast(10 as bigint) as rows, cast(0 as bigint) as not_in_table", ("temperature",))
 def _(s):
-    return latest.any_rows(s("temperature"), 10)
+    # Which rows come first is not defined: report how many came, and how many of them the table does not have.
+    table = s("temperature")
+    sample = latest.any_rows(table, 10).withColumn("key", row_hash(table.columns))
+    keys = table.select(row_hash(table.columns).alias("known")).distinct()
+    found = sample.join(keys, sample["key"] == keys["known"], "left")
+    return found.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("known").isNull(), F.lit(1))).alias("not_in_table"))
