@@ -1,5 +1,7 @@
 """Streaming jobs: restart, replay, late rows, latch state, duplicates."""
 
+import glob
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -70,34 +72,65 @@ def test_dedup_drops_copies_but_keeps_rows_of_one_tick(spark):
     root = scratch_dir(spark, "dedup")
     tick = temperature(spark, 0, 0).unionAll(temperature(spark, 0, value=2.0))
     land(tick, root, "temperature")
-    assert run_ingest(spark, root, dedup_within="15 minutes").count() == 2
+    assert run_ingest(spark, root, drop_copies=True).count() == 2
     land(tick.unionAll(temperature(spark, 5)), root, "temperature")
-    assert run_ingest(spark, root, dedup_within="15 minutes").count() == 3
+    assert run_ingest(spark, root, drop_copies=True).count() == 3
 
 
-def test_late_row_is_counted_in_complete_mode(spark):
+def test_late_rows_across_batches_are_kept(spark):
+    """Rows late by hours, rows without a time, and copies in later files."""
+    root = scratch_dir(spark, "late")
+    untimed = temperature(spark, 0).selectExpr("device_id", "cast(null as timestamp_ntz) timestamp", "value_celsius", "unit", "accuracy_pct", "status")
+    for rows in (temperature(spark, 90_000, 90_001), temperature(spark, 0, 5), untimed, temperature(spark, 10).unionAll(untimed), temperature(spark, 0)):
+        land(rows, root, "temperature")
+        table = run_ingest(spark, root, drop_copies=True)
+    assert table.count() == 6 and table.where("timestamp is null").count() == 1
+
+
+def test_replayed_batch_is_not_its_own_copy(spark):
+    path = f"{scratch_dir(spark, 'replay')}/temperature"
+    write = ingest.curated_batch_writer(path, drop_copies=True)
+    for number, batch in enumerate([temperature(spark, 0, 0, 1), temperature(spark, 1, 2)]):
+        for _ in range(2):
+            write(batch, number)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_old_and_untyped_files_are_read(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    root = scratch_dir(spark, "untyped").removeprefix("file:")
+    os.makedirs(f"{root}/landing/temperature")
+    row = {"device_id": ["d"], "timestamp": [1], "value_celsius": [1.0], "unit": [None], "accuracy_pct": [None], "status": ["NORMAL"]}
+    pq.write_table(pa.table(row), f"{root}/landing/temperature/a.parquet")
+    pq.write_table(pa.table(row | {"unit": ["C"]}), f"{root}/landing/temperature/b.parquet")
+    os.utime(f"{root}/landing/temperature/a.parquet", (1, 1))
+    assert sorted((r["unit"] or "") for r in run_ingest(spark, root).collect()) == ["", "C"]
+
+
+def test_archived_files_are_not_listed_again(spark):
+    root = scratch_dir(spark, "archive")
+    land(temperature(spark, 0), root, "temperature")
+    run_ingest(spark, root, done_with=f"{root}/done")
+    land(temperature(spark, 1), root, "temperature")
+    assert run_ingest(spark, root, done_with=f"{root}/done").count() == 2
+
+
+def test_late_row_is_counted_and_only_its_day_rewritten(spark):
     root = scratch_dir(spark, "trend")
 
     def catch_up():
         rows = ingest.landing_stream(spark, f"{root}/landing", "temperature")
-        windows.keep_current(windows.temperature_per_minute(rows), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        windows.keep_current(rows, "temperature", windows.temperature_per_minute, "ts", f"{root}/out", f"{root}/checkpoint").awaitTermination()
         return {r["ts"]: r["n"] for r in windows.read_current(spark, f"{root}/out").collect()}
 
-    land(temperature(spark, 0, 59, 60, 7200), root, "temperature")
-    assert catch_up() == {T0: 2, T0 + timedelta(minutes=1): 1, T0 + timedelta(hours=2): 1}
+    land(temperature(spark, 0, 59, 60, 7200, 90_000), root, "temperature")
+    assert catch_up() == {T0: 2, T0 + timedelta(minutes=1): 1, T0 + timedelta(hours=2): 1, T0 + timedelta(hours=25): 1}
+    kept = glob.glob(f"{root}/out/timestamp_day=2024-01-02/*.parquet")
     land(temperature(spark, 30), root, "temperature")
     assert catch_up()[T0] == 3
-
-
-def test_append_mode_emits_finished_windows(spark):
-    root = scratch_dir(spark, "append")
-    for seconds in ((0, 30), (3600,), (3660,)):
-        land(temperature(spark, *seconds), root, "temperature")
-        rows = ingest.landing_stream(spark, f"{root}/landing", "temperature")
-        writer = windows.temperature_per_minute(rows).writeStream.outputMode("append").option("checkpointLocation", f"{root}/checkpoint")
-        ingest.flush_policy(writer.format("parquet").option("path", f"{root}/out")).start().awaitTermination()
-    got = spark.read.parquet(f"{root}/out").collect()
-    assert [(r["ts"], r["n"]) for r in got] == [(T0, 2)]
+    assert glob.glob(f"{root}/out/timestamp_day=2024-01-02/*.parquet") == kept != []
 
 
 PARTS = [[None, 0.5, 1.2], [0.0, 3.0], [None], [2.0, 2.5]]

@@ -3,7 +3,7 @@
 import glob
 import os
 import shutil
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -15,7 +15,7 @@ from wattloom.session import scratch_dir, settings
 from wattloom.sinks import catalog, maintenance, writers
 from wattloom.sinks.maintenance import CompactionError, compact, content, read_as_of
 from wattloom.sinks.publish import at_least_rows, publish
-from wattloom.sources.raw import conform, read_raw, row_reader
+from wattloom.sources.raw import conform, read_raw
 from wattloom.sources.tables import read_curated, read_device_metadata
 from wattloom.suite.fixtures import read_stream
 
@@ -46,14 +46,38 @@ def test_raw_pruning_reaches_the_scan(spark):
         scan = got._jdf.queryExecution().sparkPlan().toString()
     assert "make_timestamp_ntz" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "GreaterThanOrEqual(timestamp" in scan
-    # The day after the range is listed too: a row of 23:59 may have been flushed past midnight.
+    # Folders after the range are listed too, unless a horizon says how late a row may be flushed.
     assert len(got.inputFiles()) == 2 and got.count() == 1
+    near = read_raw(spark, root, "temperature", start="2024-01-01 00:00:00", end="2024-01-02 00:00:00", horizon=timedelta(minutes=15))
+    assert len(near.inputFiles()) == 2 and near.count() == 1
     assert read_raw(spark, root, "temperature", start="2024-01-02 00:00:00").count() == 2
     assert read_raw(spark, root, "temperature", start="2025-01-02 00:00:00", end="2025-01-03 00:00:00").count() == 0
+    for days in (1, 400, 4000):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read_raw(spark, root, "humidity", start="2024-01-02 00:00:00", end=str(datetime(2024, 1, 2) + timedelta(days=days)))
+        ranged = read_raw(spark, root, "temperature", start="2024-01-02 00:00:00", end=str(datetime(2024, 1, 2) + timedelta(days=days)))
+        assert ranged.count() == (1 if days == 1 else 2)
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_raw(spark, root, "humidity")
 
 
+def test_row_flushed_hours_late_is_found(spark):
+    root = scratch_dir(spark, "raw")
+    writers.write_raw(temperature(spark, AT), root, "temperature", flushed_at="2024-01-01 10:01:00")
+    assert read_raw(spark, root, "temperature", start="2024-01-01 07:00:00", end="2024-01-01 08:00:00").count() == 1
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    df = temperature(spark, AT)
+    with settings(spark, spark__sql__session__timeZone="America/Los_Angeles"):
+        root = scratch_dir(spark, "zone")
+        writers.write_raw(df, root, "temperature")
+        assert os.path.isdir(f"{root.removeprefix('file:')}/temperature/year=2024/month=1/day=1/hour=7")
+        raw = read_raw(spark, root, "temperature", start="2024-01-01 07:00:00", end="2024-01-01 08:00:00")
+        assert raw.first()["timestamp"] == 1704095998000
+        assert conform(raw, "temperature").selectExpr("cast(timestamp as string) t").first()["t"] == "2024-01-01 07:59:58"
+
+
 def test_padded_folder_names(spark):
     root = scratch_dir(spark, "raw")
     writers.write_raw(temperature(spark, datetime(2024, 1, 2, 5)), root, "temperature")
@@ -79,11 +103,11 @@ def test_untyped_null_columns(spark):
     pq.write_table(
         pa.table(base | {"meter_end_kwh": [2.5], "energy_delivered_kwh": [1.0], "duration_s": [9], "user_id_hash": ["h"]}), f"{folder}/b.parquet"
     )
-    with row_reader(spark):
-        got = conform(read_raw(spark, root, "evse_session_event"), "evse_session_event").orderBy("duration_s").collect()
+    got = conform(read_raw(spark, root, "evse_session_event"), "evse_session_event").orderBy("duration_s").collect()
     assert [(r["energy_delivered_kwh"], r["duration_s"], r["user_id_hash"]) for r in got] == [(None, None, None), (1.0, 9, "h")]
     assert got[0]["timestamp"] == AT
-    assert spark.conf.get("spark.sql.parquet.enableVectorizedReader") == "true"
+    ranged = read_raw(spark, root, "evse_session_event", start="2024-01-01 00:00:00", end="2024-01-02 00:00:00")
+    assert sorted((r["user_id_hash"] or "", r["hour"]) for r in ranged.collect()) == [("", 7), ("h", 7)]
 
 
 def test_conform_fills_missing_columns(spark):

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from wattloom.contracts import raw_schema
-from wattloom.sinks.writers import commit_batch
-from wattloom.sources.raw import conform
-
-EVENT_TIME = "event_time"
+from wattloom.functions.timestamps import DAY_COLUMN
+from wattloom.sinks.writers import WRITE_COLUMN, commit_batch, with_day
+from wattloom.sources.raw import conform, read_batch
 
+BatchWriter = Callable[[DataFrame, int], None]
 
 def landing_stream(
     spark: SparkSession,
@@ -25,21 +26,25 @@ def landing_stream(
     stream: str,
     max_files: int | None = None,
     max_bytes: int | None = None,
+    done_with: str | None = None,
 ) -> DataFrame:
-    """Files of a stream as they land, in curated form. The limits cap one micro-batch."""
+    """Files of a stream as they land; see ``each_batch``. The limits cap one micro-batch.
+
+    A file counts however old it is when it lands. With ``done_with`` files move to that folder once their batch is
+    committed, so that a trigger lists only what is new.
+    """
     if max_files is not None and max_bytes is not None:
         raise ValueError("give either max_files or max_bytes")
     reader = spark.readStream.schema(raw_schema(stream)).option("recursiveFileLookup", "true")
+    # Files keep the time they were written at; copies and late uploads may carry any.
+    reader = reader.option("maxFileAge", "36500d")
+    if done_with is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", done_with)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return conform(reader.parquet(f"{root.rstrip('/')}/{stream}"), stream)
-
-
-def with_event_time(df: DataFrame, delay: str = "15 minutes") -> DataFrame:
-    """Watermarks need a zoned timestamp; late files of a flush arrive within the delay."""
-    return df.withColumn(EVENT_TIME, F.col("timestamp").cast("timestamp")).withWatermark(EVENT_TIME, delay)
+    return reader.parquet(f"{root.rstrip('/')}/{stream}")
 
 
 def flush_policy(writer: DataStreamWriter, every: str | None = None) -> DataStreamWriter:
@@ -47,6 +52,22 @@ def flush_policy(writer: DataStreamWriter, every: str | None = None) -> DataStre
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
+def each_batch(df: DataFrame, stream: str, checkpoint: str, write: BatchWriter, every: str | None = None) -> StreamingQuery:
+    """Start a job that gives ``write`` the rows of landed files, a micro-batch at a time.
+
+    The stream itself carries only the files' names, one micro-batch's at a time; they are then read as a batch, since
+    their columns may have lost their types.
+    """
+
+    def typed(batch: DataFrame, batch_id: int) -> None:
+        files = [r["file"] for r in batch.distinct().collect()]
+        write(conform(read_batch(batch.sparkSession, files, stream), stream), batch_id)
+
+    names = df.select(F.col("_metadata.file_path").alias("file"))
+    writer = names.writeStream.option("checkpointLocation", checkpoint).foreachBatch(typed)
+    return flush_policy(writer, every).start()
+
+
 def commit_time(spark: SparkSession, path: str, batch_id: int) -> datetime:
     """The batch's commit time: set once, read again when the batch is replayed."""
     log = f"{path.rstrip('/')}_commits/batch={batch_id}"
@@ -60,16 +81,52 @@ def commit_time(spark: SparkSession, path: str, batch_id: int) -> datetime:
         return now
 
 
-def curated_batch_writer(path: str):
+def curated_batch_writer(path: str, drop_copies: bool = False):
     """``foreachBatch`` function that appends a micro-batch; a replay replaces what it wrote before."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        commit_batch(batch, path, batch_id, commit_time(spark, path, batch_id))
+        committed = commit_time(spark, path, batch_id)
+        if drop_copies:
+            # A table cannot be read and overwritten in one job, not even in different partitions.
+            staged = f"{path.rstrip('/')}_staged/slot={batch_id % 2}"
+            new_rows(batch, path, batch_id).write.mode("overwrite").parquet(staged)
+            batch = spark.read.schema(batch.schema).parquet(staged)
+        commit_batch(batch, path, batch_id, committed)
 
     return write
 
 
+def new_rows(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """Distinct rows of a micro-batch that no other batch has brought to the table at ``path``.
+
+    A row may come again at any later time, and a genuine row may be late by any time, so the batch is compared with the
+    table itself, with NULLs equal. Only the day partitions that the batch touches are read. What this batch wrote
+    before, in an attempt that failed, does not count.
+    """
+    spark = batch.sparkSession
+    rows = with_day(batch.distinct())
+    days = [r[DAY_COLUMN] for r in rows.select(DAY_COLUMN).distinct().collect()]  # one value per day in the batch
+    try:
+        table = spark.read.schema(curated_schema(batch.schema)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return batch.distinct()
+    known = [d for d in days if d is not None]
+    touched = F.col(DAY_COLUMN).isin(known) if known else F.lit(False)
+    touched = touched | F.col(DAY_COLUMN).isNull() if None in days else touched
+    before = table.where(touched & ~F.col(WRITE_COLUMN).eqNullSafe(F.lit(f"b{batch_id}")))
+    before = before.select(*[F.col(c).alias(f"_old_{c}") for c in rows.columns])
+    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(before[f"_old_{c}"]) for c in rows.columns])
+    return rows.join(before, same, "left_anti").drop(DAY_COLUMN)
+
+
+def curated_schema(schema: T.StructType) -> T.StructType:
+    """A table's columns with its partition columns."""
+    return T.StructType([*schema.fields, T.StructField(DAY_COLUMN, T.DateType()), T.StructField(WRITE_COLUMN, T.StringType())])
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -79,35 +136,14 @@ def ingest(
     every: str | None = None,
     max_files: int | None = None,
     max_bytes: int | None = None,
-    dedup_within: str | None = None,
+    drop_copies: bool = False,
+    done_with: str | None = None,
 ) -> StreamingQuery:
     """Start the job from landed files to the curated table at ``<curated>/<stream>``.
 
     Stopping it loses nothing: the checkpoint knows which files a batch read, and a failed batch
-    is run again under the same number. ``dedup_within`` drops rows of files that landed twice.
+    is run again under the same number. ``drop_copies`` drops rows that are equal in
+    every column to one that came before, whenever that was: those of files that landed twice.
     """
-    rows = landing_stream(spark, landing, stream, max_files, max_bytes)
-    if dedup_within is not None:
-        rows = drop_replays(rows, dedup_within)
-    writer = rows.writeStream.option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(curated_batch_writer(f"{curated.rstrip('/')}/{stream}"))
-    return flush_policy(writer, every).start()
-
-
-def drop_replays(df: DataFrame, within: str = "15 minutes") -> DataFrame:
-    """Drop rows that are equal in every column to one seen within the delay.
-
-    Device and time alone do not identify a row: one tick may hold several rows of a device. The state
-    is kept per distinct row, so equal rows meet in one task; copies inside an Arrow batch are
-    dropped before that shuffle, which keeps a row that landed many times from overloading it.
-    """
-
-    # Defined here, so that it travels to the workers by value and they need not have this package.
-    def distinct_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            kept = pa.TableGroupBy(table, table.column_names, use_threads=False).aggregate([])
-            yield from kept.select(table.column_names).cast(table.schema).to_batches()
-
-    fewer = df.mapInArrow(distinct_rows, df.schema)
-    return with_event_time(fewer, within).dropDuplicatesWithinWatermark(df.columns).drop(EVENT_TIME)
+    rows = landing_stream(spark, landing, stream, max_files, max_bytes, done_with)
+    return each_batch(rows, stream, checkpoint, curated_batch_writer(f"{curated.rstrip('/')}/{stream}", drop_copies), every)

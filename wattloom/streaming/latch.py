@@ -15,7 +15,7 @@ from wattloom.functions.rules import DERATED_FROM_PCT
 from wattloom.operators.ordered import order_rows, previous_row
 from wattloom.operators.skew import TASK_ROWS
 from wattloom.sinks.writers import WRITE_COLUMN
-from wattloom.streaming.ingest import flush_policy
+from wattloom.streaming.ingest import each_batch
 
 _LATCH = "device_id string, fired boolean"
 
@@ -81,5 +81,4 @@ def derate_onsets(
     Rows are put in time order within a micro-batch; a row that is late across micro-batches is taken
     as it comes.
     """
-    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(onset_writer(path, limit, task_rows))
-    return flush_policy(writer, every).start()
+    return each_batch(df, "evse_state", checkpoint, onset_writer(path, limit, task_rows), every)

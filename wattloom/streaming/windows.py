@@ -1,49 +1,72 @@
-"""Live time-bucketed aggregates."""
+"""Live time-bucketed aggregates.
+
+Rows are kept in day partitions. A micro-batch adds its rows and then recomputes the buckets of the days it touches from
+those partitions, so a row counts however late it comes, no state is held between batches, and the work of a batch grows
+with its days, not with the history.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.numbers import mean
-from wattloom.streaming.ingest import EVENT_TIME, flush_policy, with_event_time
+from wattloom.functions.timestamps import DAY_COLUMN, bucket
+from wattloom.sinks.writers import commit_batch, with_day
+from wattloom.streaming.ingest import commit_time, curated_schema, each_batch
 
 
-def temperature_per_minute(df: DataFrame, delay: str = "15 minutes", scale: int | None = None) -> DataFrame:
-    windowed = with_event_time(df, delay).groupBy(F.window(EVENT_TIME, "1 minute"))
-    return windowed.agg(
+def temperature_per_minute(df: DataFrame, scale: int | None = None) -> DataFrame:
+    return df.groupBy(bucket("minute", "timestamp").alias("ts")).agg(
         mean("value_celsius", scale).alias("avg_temp_c"),
         F.max("value_celsius").alias("max_temp_c"),
         F.count(F.lit(1)).alias("n"),
-    ).select(F.col("window.start").cast("timestamp_ntz").alias("ts"), "avg_temp_c", "max_temp_c", "n")
+    )
 
 
-def session_events_hourly(df: DataFrame, delay: str = "15 minutes") -> DataFrame:
-    windowed = with_event_time(df, delay).groupBy(F.window(EVENT_TIME, "1 hour"), "event_type", "severity")
-    return windowed.agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("window.start").cast("timestamp_ntz").alias("hour"), "event_type", "severity", "n"
-    )
+def session_events_hourly(df: DataFrame) -> DataFrame:
+    return df.groupBy(bucket("hour", "timestamp").alias("hour"), "event_type", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
-def keep_current(df: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Maintain the complete result of a windowed aggregate under ``path``.
+def bucket_writer(path: str, aggregate: Callable[[DataFrame], DataFrame], time: str):
+    """``foreachBatch`` function that keeps ``aggregate`` current; its column ``time`` is a bucket within a day.
 
-    Complete mode drops no late row and grows with the number of windows, not of readings. Batches
-    take turns with two folders: a batch, replayed or not, never touches the result before it. For a
-    result that only ever appends finished windows, write the aggregate in append mode instead.
+    The batch's rows are written under the batch's own name and only partitions of touched days are overwritten, so a
+    replay leads to the same result.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        turn = batch.withColumn("_batch", F.lit(batch_id).cast("long")).withColumn("_slot", F.lit(batch_id % 2))
-        turn.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_slot").parquet(path)
+        spark = batch.sparkSession
+        held = f"{path}_rows"
+        commit_batch(batch, held, batch_id, commit_time(spark, held, batch_id))
+        days = [r[0] for r in with_day(batch).select(DAY_COLUMN).distinct().collect()]  # one value per day in the batch
+        if not days:
+            return
+        known = [d for d in days if d is not None]
+        touched = F.col(DAY_COLUMN).isin(known) if known else F.lit(False)
+        touched = touched | F.col(DAY_COLUMN).isNull() if None in days else touched
+        rows = spark.read.schema(curated_schema(batch.schema)).parquet(held).where(touched)
+        result = aggregate(rows).withColumn(DAY_COLUMN, F.to_date(time))
+        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY_COLUMN).parquet(path)
+
+    return write
+
 
-    writer = df.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return flush_policy(writer, every).start()
+def keep_current(
+    df: DataFrame,
+    stream: str,
+    aggregate: Callable[[DataFrame], DataFrame],
+    time: str,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Start the job that maintains the complete result of a time-bucketed aggregate under ``path``."""
+    return each_batch(df, stream, checkpoint, bucket_writer(path, aggregate, time), every)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete result."""
-    table = spark.read.parquet(path)
-    newest = table.agg(F.max("_batch")).scalar()
-    return table.where(F.col("_batch") == newest).drop("_batch", "_slot")
+    return spark.read.parquet(path).drop(DAY_COLUMN)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.timestamps import to_epoch_ms
@@ -17,22 +19,42 @@ from wattloom.suite.tables import MS, at_ms
 PARTS = (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None))
 
 
-def catch_up(s, stream: str, landing: str, start: Callable[[], StreamingQuery], copies: int = 1) -> None:
-    """Land each part (``copies`` times), run the job until it has read everything, and stop it."""
-    raw = s(stream)
-    for first, last in PARTS:
-        part = raw if first == PARTS[0][0] else raw.where(raw.timestamp >= first)
-        part = part if last is None else part.where(raw.timestamp < last)
+class replaced:
+    """The inputs of a run with another way to read a stream."""
+
+    def __init__(self, inputs, read):
+        self.spark, self.scratch, self.read = inputs.spark, inputs.scratch, read
+
+    def __call__(self, stream: str):
+        return self.read(stream)
+
+
+def catch_up(s, stream: str, landing: str, start: Callable[[], StreamingQuery], copies: int = 1, late: bool = False) -> None:
+    """Land each part (``copies`` times), run the job until it has read everything, and stop it.
+
+    Rows without a time land with the first part. With ``late`` every part brings every tenth row of the part before,
+    which that part then lacks.
+    """
+    raw = s(stream).withColumn("_part", F.lit(0))
+    for number, (first, _) in enumerate(PARTS[1:], 1):
+        raw = raw.withColumn("_part", F.when(F.col("timestamp") >= F.lit(first).cast("timestamp_ntz"), number).otherwise(F.col("_part")))
+    if late:
+        held_back = F.pmod(F.xxhash64("timestamp"), F.lit(10)) == 0
+        raw = raw.withColumn("_part", F.when(held_back, F.least(F.col("_part") + 1, F.lit(len(PARTS) - 1))).otherwise(F.col("_part")))
+    landed = raw.withColumn("timestamp", to_epoch_ms("timestamp"))
+    for number in range(len(PARTS)):
         for _ in range(copies):
-            part.withColumn("timestamp", to_epoch_ms("timestamp")).write.mode("append").parquet(f"{landing}/{stream}")
-        start().awaitTermination()
+            landed.where(F.col("_part") == number).drop("_part").write.mode("append").parquet(f"{landing}/{stream}")
+        query = start()
+        query.processAllAvailable()
+        query.stop()
 
 
-def ingested(s, stream: str, copies: int = 1, **options):
+def ingested(s, stream: str, copies: int = 1, late: bool = False, **options):
     """Run the ingest job over a stream and return the curated table."""
     root = s.scratch("ingest")
     landing, curated, checkpoint = f"{root}/landing", f"{root}/curated", f"{root}/checkpoint"
-    catch_up(s, stream, landing, lambda: ingest.ingest(s.spark, landing, stream, curated, checkpoint, **options), copies)
+    catch_up(s, stream, landing, lambda: ingest.ingest(s.spark, landing, stream, curated, checkpoint, **options), copies, late)
     return conform(s.spark.read.parquet(f"{curated}/{stream}"), stream)
 
 
@@ -43,17 +65,27 @@ def _(s):
 
 @query("stream_flush_policy", f"select {at_ms('vibration')} from vibration", ("vibration",))
 def _(s):
-    return ingested(s, "vibration", max_bytes=10 << 30)
+    return ingested(s, "vibration", copies=1, every="1 second", max_bytes=1 << 15)
 
 
 @query("stream_bounded_run", f"select {at_ms('evse_session_event')} from evse_session_event", ("evse_session_event",))
 def _(s):
-    return ingested(s, "evse_session_event", max_files=10_000)
+    return ingested(s, "evse_session_event", max_files=1)
 
 
-@query("stream_dedup_replays", f"select {at_ms('temperature')} from temperature", ("temperature",))
+@query(
+    "stream_dedup_replays",
+    f"select distinct {at_ms('temperature')} from temperature union all select distinct * replace (null as timestamp) from temperature where accuracy_pct is null",
+    ("temperature",),
+)
 def _(s):
-    return ingested(s, "temperature", copies=2, dedup_within="15 minutes")
+    # Every part lands twice, rows come late by days, and each part brings the same rows without a time.
+    def with_untimed(stream):
+        rows = s(stream)
+        untimed = rows.where("accuracy_pct is null").withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+        return rows.unionAll(untimed).unionAll(untimed)
+
+    return ingested(replaced(s, with_untimed), "temperature", copies=2, late=True, drop_copies=True)
 
 
 @query(
@@ -67,9 +99,9 @@ def _(s):
 
     def start() -> StreamingQuery:
         rows = ingest.landing_stream(s.spark, f"{root}/landing", "temperature")
-        return windows.keep_current(windows.temperature_per_minute(rows, scale=4), f"{root}/out", f"{root}/checkpoint")
+        return windows.keep_current(rows, "temperature", partial(windows.temperature_per_minute, scale=4), "ts", f"{root}/out", f"{root}/checkpoint")
 
-    catch_up(s, "temperature", f"{root}/landing", start)
+    catch_up(s, "temperature", f"{root}/landing", start, late=True)
     return windows.read_current(s.spark, f"{root}/out")
 
 
@@ -79,9 +111,9 @@ def _(s):
 
     def start() -> StreamingQuery:
         rows = ingest.landing_stream(s.spark, f"{root}/landing", "evse_session_event")
-        return windows.keep_current(windows.session_events_hourly(rows), f"{root}/out", f"{root}/checkpoint")
+        return windows.keep_current(rows, "evse_session_event", windows.session_events_hourly, "hour", f"{root}/out", f"{root}/checkpoint")
 
-    catch_up(s, "evse_session_event", f"{root}/landing", start)
+    catch_up(s, "evse_session_event", f"{root}/landing", start, late=True)
     return windows.read_current(s.spark, f"{root}/out")
 
 
