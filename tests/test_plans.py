@@ -83,3 +83,44 @@ def test_small_dimension_is_broadcast(spark, tables):
 def test_distinct_connectors_are_combined_before_the_shuffle(tables):
     text = plan(aggregates.daily_load(tables["evse_electrical"], as_of=AS_OF, connector="device_id"))
     assert "partial_count(distinct" in text
+
+
+def day_filters(df):
+    return [part.split("PushedFilters")[0] for part in plan(df).split("PartitionFilters: [")[1:]]
+
+
+def test_models_prune_days(spark, tables):
+    from wattloom.plans.models import model_ref
+
+    mart = aggregates.mart_recent_days(model_ref("mart_evse_power_daily", tables.__getitem__), 7, AS_OF)
+    staged = model_ref("stg_temperature", tables.__getitem__).where("day >= date '2024-01-20'")
+    for df in (mart, staged):
+        filters = day_filters(df)
+        assert filters and all("timestamp_day" in f and ">= 2024-01-2" in f for f in filters)
+    assert "timestamp_day" not in model_ref("stg_evse_electrical", tables.__getitem__).columns
+
+
+def test_newest_rows_read_the_last_days(spark, tables):
+    found = latest.latest_temperature(tables["temperature"])
+    assert ">= 2024-01-" in day_filters(found)[0]
+    everything = tables["temperature"].drop("timestamp_day")
+    assert found.collect() == latest.latest_temperature(everything).collect()
+    assert aggregates.humidity_hourly is not None
+
+
+def test_newest_rows_go_back_over_sparse_days(spark):
+    root = scratch_dir(spark, "sparse")
+    rows = read_stream(spark, "/root/testdata/sf0.001", "temperature").where("timestamp < '2024-01-03' or timestamp >= '2024-01-29'")
+    sparse = rows.where("timestamp < '2024-01-03'").unionAll(rows.where("timestamp >= '2024-01-29'").limit(2))
+    table = spark.read.parquet(writers.append_curated(sparse, root, "temperature"))
+    assert latest.latest_temperature(table, 30).collect() == latest.latest_temperature(table.drop("timestamp_day"), 30).collect()
+
+
+def test_as_of_inside_the_data_hides_later_rows(tables):
+    from datetime import timedelta
+
+    from wattloom.functions.timestamps import recent
+
+    for table in (tables["temperature"], tables["temperature"].drop("timestamp_day")):
+        seen = recent(table, timedelta(days=1), "2024-01-10 00:30:00")
+        assert seen.count() > 0 and seen.where("timestamp > timestamp_ntz '2024-01-10 00:30:00'").count() == 0

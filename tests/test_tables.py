@@ -8,12 +8,14 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.contracts import STREAMS, raw_schema, table_schema
 from wattloom.operators.quality import Check, missing
+from wattloom.plans.views import register_raw_views
 from wattloom.session import scratch_dir, settings
 from wattloom.sinks import catalog, maintenance, writers
-from wattloom.sinks.maintenance import CompactionError, compact, content, read_as_of
+from wattloom.sinks.maintenance import CompactionError, compact, content, read_as_of, recover
 from wattloom.sinks.publish import at_least_rows, publish
 from wattloom.sources.raw import conform, read_raw
 from wattloom.sources.tables import read_curated, read_device_metadata
@@ -198,23 +200,30 @@ def test_compaction_keeps_rows(spark, sf):
 
 
 def test_compaction_splits_a_large_day(spark, sf):
-    root = scratch_dir(spark, "curated")
-    df = read_stream(spark, sf, "temperature").where("timestamp < '2024-01-02'")
-    path = writers.append_curated(df, root, "temperature")
-    done = compact(spark, path, target_mb=0.002)
-    assert done.files_after > 1 and spark.read.parquet(path).count() == df.count()
+    path = f"{scratch_dir(spark, 'curated')}/temperature"
+    df = writers.with_day(read_stream(spark, sf, "temperature").where("timestamp < '2024-01-02'"))
+    df.repartition(12).write.partitionBy("timestamp_day").parquet(path)
+    size = sum(os.path.getsize(f) for f in files(path.removeprefix("file:")))
+    done = compact(spark, path, target_mb=size / 3 / 2**20)
+    assert done.files_before == 12 and 1 < done.files_after < 12 and spark.read.parquet(path).count() == df.count()
+
+
+def several(spark, root):
+    days = [AT, datetime(2024, 1, 2), datetime(2024, 1, 3)]
+    for _ in range(2):
+        path = writers.append_curated(temperature(spark, *days), root, "temperature")
+    return path
 
 
 def test_broken_compaction_leaves_table(spark, monkeypatch):
-    root = scratch_dir(spark, "curated")
-    path = writers.append_curated(temperature(spark, AT, datetime(2024, 1, 2), datetime(2024, 1, 3)), root, "temperature")
+    path = several(spark, scratch_dir(spark, "curated"))
     before = sorted(files(path))
     monkeypatch.setattr(maintenance, "content", lambda df, columns, seen=iter([1, 2]): next(seen))
     with pytest.raises(CompactionError):
         compact(spark, path)
     assert sorted(files(path)) == before
     monkeypatch.undo()
-    real_move, calls = maintenance._Folders.move, []
+    real_move, calls = maintenance.Folders.move, []
 
     def failing_move(self, source, target):
         calls.append(source)
@@ -222,10 +231,92 @@ def test_broken_compaction_leaves_table(spark, monkeypatch):
             raise OSError("disk gone")
         real_move(self, source, target)
 
-    monkeypatch.setattr(maintenance._Folders, "move", failing_move)
+    monkeypatch.setattr(maintenance.Folders, "move", failing_move)
     with pytest.raises(OSError):
         compact(spark, path)
-    assert sorted(files(path)) == before and spark.read.parquet(path).count() == 3
+    assert sorted(files(path)) == before and spark.read.parquet(path).count() == 6
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2, 3])
+def test_dead_compaction_is_completed_or_undone(spark, monkeypatch, moves):
+    path = several(spark, scratch_dir(spark, "curated"))
+    real_move, calls = maintenance.Folders.move, []
+
+    class Died(BaseException):
+        pass
+
+    def dying_move(self, source, target):
+        if len(calls) == moves:
+            raise Died
+        calls.append(source)
+        real_move(self, source, target)
+
+    monkeypatch.setattr(maintenance.Folders, "move", dying_move)
+    with pytest.raises(Died):
+        compact(spark, path)
+    monkeypatch.undo()
+    recover(spark, path)
+    assert spark.read.parquet(path).count() == 6 and not glob.glob(f"{path}/_*-*")
+    assert compact(spark, path).days == 3 - (moves + 1) // 2 and len(files(path)) == 3
+
+
+def test_compaction_takes_untimed_rows_and_rewrites_no_day_twice(spark):
+    root = scratch_dir(spark, "curated")
+    untimed = temperature(spark, AT).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    for _ in range(2):
+        path = writers.append_curated(temperature(spark, AT).unionAll(untimed), root, "temperature")
+    assert compact(spark, path).days == 2 and spark.read.parquet(path).count() == 4
+    kept = sorted(files(path))
+    assert compact(spark, path).days == 0 and sorted(files(path)) == kept
+
+
+def test_newest_batch_stays_apart(spark):
+    path = f"{scratch_dir(spark, 'curated')}/temperature"
+    for number in range(3):
+        writers.commit_batch(temperature(spark, AT), path, number, "2024-02-01 00:00:00")
+    compact(spark, path)
+    writers.commit_batch(temperature(spark, AT), path, 2, "2024-02-01 00:00:00")
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_curated_schema_is_the_contracts_whatever_the_files_hold(spark):
+    root = scratch_dir(spark, "curated")
+    df = temperature(spark, AT)
+    path = writers.append_curated(df, root, "temperature", 0, "2024-02-01 00:00:00")
+    writers.append_curated(df, root, "temperature")
+    table = read_curated(spark, "temperature", root, keep_lineage=True)
+    assert table.columns[-4:] == ["_batch_id", "_committed_at", "timestamp_day", "_write_id"] and table.count() == 2
+    assert read_curated(spark, "temperature", root).columns == [*df.columns, "timestamp_day"]
+    with pytest.raises(ValueError):
+        read_as_of(table, version=0)
+    assert read_as_of(table, at="2024-02-01 12:00:00").count() == 1
+    assert path.endswith("temperature")
+
+
+def test_failed_model_run_leaves_the_model(spark):
+    path = f"{scratch_dir(spark, 'models')}/m"
+    writers.write_model(spark.range(3), path)
+    bad = spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        writers.write_model(bad, path)
+    assert spark.read.parquet(path).count() == 3
+    writers.write_model(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_old_versions_are_removed(spark):
+    root, view = scratch_dir(spark, "published"), "kept_versions"
+    for _ in range(4):
+        last = publish(spark, temperature(spark, AT), root, view, [at_least_rows("t", 1)], temporary=True, keep=2)
+    versions = glob.glob(f"{root.removeprefix('file:')}/{view}/*")
+    assert len(versions) == 2 and any(last.path.endswith(os.path.basename(v)) for v in versions)
+
+
+def test_raw_views(spark):
+    root = scratch_dir(spark, "raw")
+    writers.write_raw(temperature(spark, AT), root, "temperature")
+    assert register_raw_views(spark, root, ["temperature"]) == ["raw_temperature"]
+    assert spark.sql("select count(*) n from raw_temperature where hour = 7").first()["n"] == 1
 
 
 def test_replayed_batch_replaces_itself_also_after_compaction(spark):

@@ -18,6 +18,7 @@ from wattloom.functions.numbers import mean, rounded, total
 from wattloom.functions.hashing import row_hash
 from wattloom.functions.timestamps import bucket, day_of, moment, recent, since_midnight
 from wattloom.operators.filters import keep_device
+from wattloom.operators.latest import newest_days
 from wattloom.sources.tables import tag_rows
 
 AsOf = datetime | str | None
@@ -112,8 +113,10 @@ def temperature_daily_device(staged: DataFrame, device_id: str, scale: int | Non
 
 def humidity_hourly(df: DataFrame, hours: int = 24, digits: int | None = 1, scale: int | None = None) -> DataFrame:
     """The newest ``hours`` hours that have readings."""
+    hour = bucket("hour", "timestamp")
+    last = newest_days(df, lambda part: part.select(hour.alias("hour")).distinct().limit(hours).count() >= hours)
     return (
-        df.groupBy(bucket("hour", "timestamp").alias("hour"))
+        last.groupBy(bucket("hour", "timestamp").alias("hour"))
         .agg(
             rounded(mean("relative_humidity_pct", scale), digits).alias("avg_humidity_pct"),
             rounded(mean("dew_point_c", scale), digits).alias("avg_dew_point_c"),

@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.functions.timestamps import DAY_COLUMN
 from wattloom.operators.filters import keep_true
 
 TIES = ("device_id",)
 
 
+def newest_days(df: DataFrame, enough: Callable[[DataFrame], bool]) -> DataFrame:
+    """The last days of a day-partitioned table that hold enough, or the table as it is.
+
+    The days are known from the files' folders. One day is tried first, then twice as many, and so on.
+    """
+    if DAY_COLUMN not in df.columns:
+        return df
+    days = sorted({m[1] for f in df.inputFiles() if (m := re.search(rf"{DAY_COLUMN}=(\d{{4}}-\d\d-\d\d)", f))}, reverse=True)
+    n = 1
+    while n < len(days):
+        part = df.where(F.col(DAY_COLUMN) >= F.lit(days[n - 1]).cast("date"))
+        if enough(part):
+            return part
+        n *= 2
+    return df
+
+
 def newest(df: DataFrame, k: int, columns: Sequence[str], ties: Sequence[str] = TIES) -> DataFrame:
+    df = newest_days(df, lambda part: part.select(F.lit(1)).limit(k).count() >= k)
     ordered = df.orderBy(F.col("timestamp").desc(), *[F.col(c).asc_nulls_last() for c in ties])
     return ordered.limit(k).select(*columns)
 

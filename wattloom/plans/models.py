@@ -23,6 +23,12 @@ class Model:
     partition_by: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
     materialized: str = "table"
+    # How to build it from a curated table without the models between, so that filters on its day prune the table.
+    from_curated: tuple[str, Callable[[DataFrame], DataFrame]] | None = None
+
+
+def _mart(electrical: DataFrame) -> DataFrame:
+    return power_daily(staging.stage_electrical(electrical, keep_day=True))
 
 
 MODELS = {
@@ -34,7 +40,7 @@ MODELS = {
         Model("stg_evse_electrical", ("evse_electrical",), staging.stage_electrical, (), ("device_id", "asset_id")),
         Model("stg_evse_state", ("evse_state",), staging.stage_state, (), ("device_id",)),
         Model("stg_evse_session_event", ("evse_session_event",), staging.stage_session_event, (), ("device_id",)),
-        Model("mart_evse_power_daily", ("stg_evse_electrical",), power_daily, ("day",), ("device_id", "asset_id")),
+        Model("mart_evse_power_daily", ("stg_evse_electrical",), power_daily, ("day",), ("device_id", "asset_id"), from_curated=("evse_electrical", _mart)),
     )
 }
 
@@ -46,6 +52,9 @@ def model_ref(name: str, source: Source, models: Mapping[str, Model] = MODELS) -
     if name not in models:
         return source(name)
     model = models[name]
+    if model.from_curated and model.inputs == MODELS[name].inputs and model.build is MODELS[name].build:
+        table, build = model.from_curated
+        return build(source(table))
     return model.build(*[model_ref(i, source, models) for i in model.inputs])
 
 

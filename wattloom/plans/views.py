@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from wattloom.contracts import STREAMS
 from wattloom.plans.models import MODELS, Model, Source, model_ref
+from wattloom.sources.raw import read_raw
 
 
 def register_views(
@@ -29,6 +30,15 @@ def register_views(
     return names
 
 
+def register_raw_views(spark: SparkSession, root: str, streams: Iterable[str] = STREAMS) -> list[str]:
+    """Name the landed files of every stream ``raw_<stream>``, for SQL over what has landed."""
+    names = []
+    for stream in streams:
+        read_raw(spark, root, stream).createOrReplaceTempView(f"raw_{stream}")
+        names.append(f"raw_{stream}")
+    return names
+
+
 def _roots(name: str, models: Mapping[str, Model]) -> set[str]:
     """The curated tables a model rests on."""
     if name not in models:

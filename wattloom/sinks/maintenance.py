@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -11,10 +12,16 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.functions.hashing import row_hash
 from wattloom.functions.timestamps import DAY_COLUMN, moment
+from wattloom.sinks.folders import Folders
 from wattloom.sinks.writers import BATCH_COLUMN, COMMIT_COLUMN, WRITE_COLUMN
 
 
+# What Spark names the folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Compaction:
     days: int
@@ -27,78 +34,96 @@ class CompactionError(RuntimeError):
     pass
 
 
-class _Folders:
-    """The table's file system through Hadoop's API, which every Spark deployment has."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self.fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def names(self, path: str) -> list[str]:
-        return [s.getPath().getName() for s in self.fs.listStatus(self._path(path)) if s.isDirectory()]
+def content(df: DataFrame, columns: Sequence[str]) -> tuple:
+    """Row count and a sum of row hashes: equal for equal contents in any order."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_hash(columns)).alias("h")).first()
+    return row["n"], row["h"]
 
-    def size(self, path: str) -> tuple[int, int]:
-        summary = self.fs.getContentSummary(self._path(path))
-        return summary.getLength(), summary.getFileCount()
 
-    def make(self, path: str) -> None:
-        self.fs.mkdirs(self._path(path))
+def _day(folder: str) -> str | None:
+    value = folder.removeprefix(f"{DAY_COLUMN}=")
+    return None if value == NO_VALUE else value
 
-    def move(self, source: str, target: str) -> None:
-        if not self.fs.rename(self._path(source), self._path(target)):
-            raise CompactionError(f"could not move {source} to {target}")
 
-    def drop(self, path: str) -> None:
-        self.fs.delete(self._path(path), True)
+def _batch(folder: str) -> int | None:
+    """The batch that a folder of a day was written by; None for merged ones."""
+    found = re.fullmatch(rf"{WRITE_COLUMN}=b(\d+)", folder)
+    return int(found[1]) if found else None
 
-    def exists(self, path: str) -> bool:
-        return self.fs.exists(self._path(path))
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Complete or undo what a compaction left when it died.
 
-def content(df: DataFrame, columns: Sequence[str]) -> tuple:
-    """Row count and a sum of row hashes: equal for equal contents in any order."""
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).alias("h")
-    ).first()
-    return row["n"], row["h"]
+    A day is swapped by moving the old folder away and the new one in. The folders a compaction works in tell how far it
+    came: a day that is missing from the table gets its new files if they are there, and its old ones otherwise.
+    """
+    path, folders = path.rstrip("/"), Folders(spark, path)
+    left = folders.names(path)
+    for replaced in (n for n in left if n.startswith("_replaced-")):
+        aside = replaced.replace("_replaced-", "_compacted-")
+        for day in folders.names(f"{path}/{replaced}"):
+            if not folders.exists(f"{path}/{day}"):
+                new = f"{path}/{aside}/{day}"
+                folders.move(new if folders.exists(new) else f"{path}/{replaced}/{day}", f"{path}/{day}")
+        folders.drop(f"{path}/{replaced}")
+    for aside in (n for n in left if n.startswith("_compacted-")):
+        folders.drop(f"{path}/{aside}")
 
 
 def compact(
     spark: SparkSession,
     path: str,
     since: date | str | None = None,
-    target_mb: int = 512,
+    target_mb: float = 512,
     before_batch: int | None = None,
     cluster_by: Sequence[str] = ("device_id", "timestamp"),
 ) -> Compaction:
     """Rewrite the small files of day partitions into files of about ``target_mb``; rows do not change.
 
-    Rows are range-partitioned by day and then by ``cluster_by``, so a large day is spread over as many
-    tasks as its size asks for and file statistics are tight. The copy is written beside the
-    table, compared with the original, and only then moved into place day by day; the replaced days
-    are kept until all have moved and moved back if one fails. Files of a stream's batches are merged
-    where the batch is before ``before_batch``; a later batch may still be replayed and stays apart. Run it while no job appends.
+    Only days with more files than their size asks for are rewritten, rows without a time among them. Rows are
+    range-partitioned by day and then by ``cluster_by``, so a large day is spread over as many tasks as its size asks for
+    and file statistics are tight. Files of a stream's batches are merged where the batch is before ``before_batch``; a
+    batch that may still be replayed stays apart, and unless told otherwise that is the newest one.
+
+    The copy is written beside the table, compared with the original, and only then moved into place day by day. If a
+    move fails all is moved back; if the job dies the next compaction, or ``recover``, completes or undoes each day. Run
+    it while no job appends.
     """
     path = path.rstrip("/")
-    folders = _Folders(spark, path)
-    first = str(since) if since is not None else ""
+    folders = Folders(spark, path)
+    recover(spark, path)
     prefix = f"{DAY_COLUMN}="
-    days = sorted(d for d in folders.names(path) if d.startswith(prefix) and d[len(prefix) :] >= first)
+    first = str(since) if since is not None else ""
+    days = sorted(d for d in folders.names(path) if d.startswith(prefix) and (_day(d) is None or _day(d) >= first))
+    inside = {d: folders.names(f"{path}/{d}") for d in days}
+    numbers = [n for names in inside.values() for n in map(_batch, names) if n is not None]
+    before = before_batch if before_batch is not None else max(numbers, default=0)
+
+    def settled(day: str) -> tuple[int, int]:
+        """Bytes and files of a day that may be merged."""
+        parts = [n for n in inside[day] if n.startswith(f"{WRITE_COLUMN}=")]
+        kept = [n for n in parts if _batch(n) is None or _batch(n) < before]
+        sizes = [folders.size(f"{path}/{day}/{n}") for n in kept] if parts else [folders.size(f"{path}/{day}")]
+        return sum(s for s, _ in sizes), sum(f for _, f in sizes)
+
+    target = target_mb * 1024 * 1024
+    found = {d: settled(d) for d in days}
+    days = [d for d in days if found[d][1] > max(1, math.ceil(found[d][0] / target))]
     if not days:
         return Compaction(0, 0, 0, 0)
-    sizes = [folders.size(f"{path}/{d}") for d in days]
-    size, files = sum(s for s, _ in sizes), sum(f for _, f in sizes)
+    size, files = (sum(part) for part in zip(*[folders.size(f"{path}/{d}") for d in days]))
 
     table = spark.read.parquet(path)
-    selected = table.where(F.col(DAY_COLUMN) >= F.lit(days[0][len(prefix) :]).cast("date"))
+    dated = [_day(d) for d in days if _day(d) is not None]
+    chosen = F.col(DAY_COLUMN).isin([date.fromisoformat(d) for d in dated]) if dated else F.lit(False)
+    selected = table.where(chosen | F.col(DAY_COLUMN).isNull() if len(dated) < len(days) else chosen)
     partitions = [c for c in (DAY_COLUMN, WRITE_COLUMN) if c in table.columns]
     rows = selected
     if WRITE_COLUMN in partitions:
-        settled = F.lit(True) if before_batch is None else F.col(BATCH_COLUMN) < before_batch
-        rows = rows.withColumn(WRITE_COLUMN, F.when(settled, F.lit("merged")).otherwise(F.col(WRITE_COLUMN)))
+        merged = F.when(F.col(BATCH_COLUMN) < before, F.lit("merged")).otherwise(F.col(WRITE_COLUMN))
+        rows = rows.withColumn(WRITE_COLUMN, merged)
     order = [*partitions, *[c for c in cluster_by if c in table.columns]]
-    pieces = max(1, math.ceil(size / (target_mb * 1024 * 1024)))
+    pieces = max(1, math.ceil(size / target))
     token = uuid.uuid4().hex[:12]
     aside, replaced = f"{path}/_compacted-{token}", f"{path}/_replaced-{token}"
     (
@@ -125,6 +150,8 @@ def compact(
             if folders.exists(f"{path}/{day}"):
                 folders.drop(f"{path}/{day}")
             folders.move(f"{replaced}/{day}", f"{path}/{day}")
+        folders.drop(replaced)
+        folders.drop(aside)
         raise
     after = sum(folders.size(f"{path}/{d}")[1] for d in days)
     folders.drop(replaced)
@@ -136,8 +163,14 @@ def compact(
 def read_as_of(
     table: DataFrame, version: int | None = None, at: datetime | str | Column | None = None, keep_lineage: bool = False
 ) -> DataFrame:
-    """The rows an append-only table had after batch ``version``, or at a commit time."""
+    """The rows an append-only table had after batch ``version``, or at a commit time.
+
+    Rows that were appended without a batch belong to no version, so asking for one where there are such rows is an error.
+    """
     if (version is None) == (at is None):
         raise ValueError("give either version or at")
+    lineage = BATCH_COLUMN if version is not None else COMMIT_COLUMN
+    if lineage not in table.columns or not table.where(F.col(lineage).isNull()).select(F.lit(1)).limit(1).isEmpty():
+        raise ValueError(f"some rows have no {lineage}")
     kept = table.where(F.col(BATCH_COLUMN) <= version) if version is not None else table.where(F.col(COMMIT_COLUMN) <= moment(at))
     return kept if keep_lineage else kept.drop(BATCH_COLUMN, COMMIT_COLUMN, WRITE_COLUMN)

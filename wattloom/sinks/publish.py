@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.operators.quality import Check, run_checks
+from wattloom.sinks.folders import Folders
 from wattloom.sinks.writers import write_model
 
 
@@ -28,13 +29,16 @@ def publish(
     checks: Sequence[Check],
     partition_by: Sequence[str] = (),
     temporary: bool = False,
+    keep: int | None = None,
 ) -> Publication:
     """Stage ``df`` in a folder of its own, run ``checks`` on what was written, then re-point ``view``.
 
     Re-pointing is one catalog statement, so a reader sees the old or the new version, never a mix.
-    A failed ``error`` check leaves the view as it was; the staged files remain for inspection.
+    A failed ``error`` check leaves the view as it was; the staged files remain for inspection. With ``keep`` only so
+    many of the newest versions remain after a new one is published; failed ones count.
     """
-    path = f"{root.rstrip('/')}/{view.split('.')[-1]}/version={uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/{view.split('.')[-1]}"
+    path = f"{folder}/version={uuid.uuid4().hex}"
     write_model(df, path, partition_by, mode="errorifexists")
     staged = spark.read.parquet(path)
     report = run_checks({c.table: staged for c in checks}, checks)
@@ -44,6 +48,11 @@ def publish(
         staged.createOrReplaceTempView(view)
     elif passed:
         spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    if passed and keep is not None:
+        folders = Folders(spark, folder)
+        others = [f"{folder}/{n}" for n in folders.newest_first(folder) if not path.endswith(n)]
+        for old in others[max(0, keep - 1) :]:
+            folders.drop(old)
     return Publication(passed, path, report)
 
 

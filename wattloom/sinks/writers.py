@@ -8,6 +8,7 @@ it would not save files, only make one task write many.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from contextlib import nullcontext
 from datetime import datetime
@@ -19,11 +20,14 @@ from pyspark.sql.readwriter import DataFrameWriter
 from wattloom.contracts import STREAMS, table_schema
 from wattloom.functions.timestamps import DAY_COLUMN, moment, partition_columns, to_epoch_ms
 from wattloom.session import settings
+from wattloom.sinks.folders import Folders
 from wattloom.sources.raw import LAYOUT
 
 BATCH_COLUMN = "_batch_id"
 COMMIT_COLUMN = "_committed_at"
 WRITE_COLUMN = "_write_id"
+# Shuffled bytes that go into one file of a partitioned write.
+FILE_SIZE = "512m"
 
 
 def _parquet(df: DataFrame, mode: str, partitions: Sequence[str]) -> DataFrameWriter:
@@ -34,7 +38,9 @@ def _parquet(df: DataFrame, mode: str, partitions: Sequence[str]) -> DataFrameWr
 def _spread(spark: SparkSession, partitions: Sequence[str]):
     if not partitions:
         return nullcontext()
-    return settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false")
+    return settings(
+        spark, spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__adaptive__advisoryPartitionSizeInBytes=FILE_SIZE
+    )
 
 
 def write_raw(df: DataFrame, root: str, stream: str, flushed_at: datetime | str | None = None, mode: str = "append") -> str:
@@ -60,11 +66,8 @@ def with_day(df: DataFrame) -> DataFrame:
 def append_curated(
     df: DataFrame, root: str, stream: str, batch_id: int | None = None, committed_at: datetime | str | None = None
 ) -> str:
-    """Append rows to the day partitions of a curated table, with lineage columns for as-of reads."""
-    rows = with_day(df)
-    if batch_id is not None:
-        rows = rows.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long"))
-        rows = rows.withColumn(COMMIT_COLUMN, moment(committed_at))
+    """Append rows to the day partitions of a curated table, always with the lineage columns that as-of reads need."""
+    rows = with_day(df).withColumns({BATCH_COLUMN: F.lit(batch_id).cast("long"), COMMIT_COLUMN: moment(committed_at)})
     path = f"{root.rstrip('/')}/{stream}"
     with _spread(df.sparkSession, [DAY_COLUMN]):
         _parquet(rows.hint("rebalance", DAY_COLUMN), "append", [DAY_COLUMN]).save(path)
@@ -91,13 +94,27 @@ def commit_batch(df: DataFrame, path: str, batch_id: int, committed_at: datetime
 def write_model(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> str:
-    """Write a model's rows, partitioned and clustered for skipping."""
+    """Write a model's rows, partitioned and clustered for skipping.
+
+    Overwriting writes beside the model and swaps the folders at the end, so a run that fails leaves the model as it was.
+    """
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     if cluster_by:
         rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
+    path = path.rstrip("/")
+    folders = Folders(df.sparkSession, path)
+    swap = mode == "overwrite" and folders.exists(path)
+    token = uuid.uuid4().hex[:12]
+    target = f"{path}__new-{token}" if swap else path
     # A model is replaced as a whole, also when a partition it had before is gone.
     with _spread(df.sparkSession, partition_by):
-        _parquet(rows, mode, partition_by).option("partitionOverwriteMode", "static").save(path)
+        _parquet(rows, mode, partition_by).option("partitionOverwriteMode", "static").save(target)
+    if swap:
+        old = f"{path}__old-{token}"
+        folders.move(path, old)
+        folders.move(target, path)
+        folders.drop(old)
+        df.sparkSession.catalog.refreshByPath(path)
     return path
 
 

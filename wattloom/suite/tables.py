@@ -6,6 +6,8 @@ import uuid
 from dataclasses import replace
 from functools import partial
 
+from pyspark.sql import functions as F
+
 from wattloom.contracts import STREAMS
 from wattloom.functions.timestamps import to_epoch_ms
 from wattloom.operators.aggregates import power_daily, rows_per_stream
@@ -31,7 +33,8 @@ def at_ms(stream: str) -> str:
 
 
 def in_two(df):
-    return df.where(df.timestamp < SPLIT), df.where(df.timestamp >= SPLIT)
+    """The rows before a moment, with those that have no time, and the others."""
+    return df.where((df.timestamp < SPLIT) | df.timestamp.isNull()), df.where(df.timestamp >= SPLIT)
 
 
 def new_schema(s) -> str:
@@ -165,6 +168,26 @@ def _(s):
     return read_curated(s.spark, "temperature", root)
 
 
+@query(
+    "compact_replay",
+    """select *, cast(timestamp as date) as timestamp_day from (select * from temperature union all
+ select * replace (null as timestamp) from temperature where accuracy_pct is null)""",
+    ("temperature",),
+)
+def _(s):
+    # Six batches put as many files in every day and in that of the rows without a time; the newest one comes again.
+    rows = s("temperature")
+    untimed = rows.where("accuracy_pct is null").withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    rows = rows.unionAll(untimed).withColumn("_part", F.pmod(F.xxhash64(*rows.columns), F.lit(6)))
+    root = s.scratch("curated")
+    batches = [rows.where(F.col("_part") == n).drop("_part") for n in range(6)]
+    for number, batch in enumerate(batches):
+        writers.commit_batch(batch, f"{root}/temperature", number, "2024-02-01 00:00:00")
+    compact(s.spark, f"{root}/temperature")
+    writers.commit_batch(batches[-1], f"{root}/temperature", 5, "2024-02-01 00:00:00")
+    return read_curated(s.spark, "temperature", root)
+
+
 @query("read_as_of", f"select *, cast(timestamp as date) as timestamp_day from humidity where timestamp < timestamp '{SPLIT}'", ("humidity",))
 def _(s):
     root = s.scratch("curated")
