@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import WORD, text_of, written
@@ -175,22 +175,27 @@ def chains(anchors: list[tuple[int, int]], k: int = K, gap: int = GAP, cost: flo
     return out
 
 
+CHAINS = "array<struct<places: array<int>, first_places: array<int>>>"
+
+
 def chain_table(linked: DataFrame) -> DataFrame:
-    """Chains of each pair of documents: doc_id, first_id, and the places of their anchors in both."""
+    """The chains of each pair of documents: doc_id, first_id, chains (the places of their anchors in both)."""
     by_doc = linked.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "first_id", "first_pos")).alias("links"))
+    kind = pa.list_(pa.struct([("places", pa.list_(pa.int32())), ("first_places", pa.list_(pa.int32()))]))
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            pairs: dict[tuple[int, int], list[dict]] = {}
             for doc_id, links in zip(*[c.to_pylist() for c in batch.columns]):
-                for pair, anchors in near_links([(x["pos"], x["first_id"], x["first_pos"]) for x in links]).items():
-                    for found in chains(anchors):
-                        rows.append((doc_id, pair[1], [p for p, _ in found], [q for _, q in found]))
-            if rows:
-                kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["doc_id", "first_id", "places", "first_places"])
+                for (_, first_id), anchors in near_links([(x["pos"], x["first_id"], x["first_pos"]) for x in links]).items():
+                    found = [{"places": [p for p, _ in c], "first_places": [q for _, q in c]} for c in chains(anchors)]
+                    pairs.setdefault((doc_id, first_id), []).extend(found)
+            if pairs:
+                ids, firsts = zip(*pairs)
+                columns = [pa.array(ids, pa.int64()), pa.array(firsts, pa.int64()), pa.array(list(pairs.values()), kind)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "first_id", "chains"])
 
-    return by_doc.mapInArrow(chain, "doc_id bigint, first_id bigint, places array<int>, first_places array<int>")
+    return by_doc.mapInArrow(chain, f"doc_id bigint, first_id bigint, chains {CHAINS}")
 
 
 def near_links(found: list[tuple[int, int, int]]) -> dict[tuple[int, int], list[tuple[int, int]]]:
@@ -243,48 +248,52 @@ def reach(a: list[bytes], b: list[bytes], drop: int = 6) -> tuple[int, int]:
 def align(a: list[bytes], b: list[bytes], chain: list[tuple[int, int]], k: int = K) -> tuple[int, int, int, int, int]:
     """Start and end in both lists of the passage around a chain, and its number of equal words."""
     p, q = chain[0]
-    left, equal = reach(a[:p][::-1], b[:q][::-1])
+    left, equal = reach(a[max(0, p - REACH) : p][::-1], b[max(0, q - REACH) : q][::-1])
     start, other_start = p - left, q - left
     for (p, q), (p2, q2) in zip(chain, chain[1:]):
         equal += common_words(a[p:p2], b[q:q2])
     p, q = chain[-1]
     n = sum(1 for _ in zip(a[p : p + k], b[q : q + k]))
     equal += sum(x == y for x, y in zip(a[p : p + k], b[q : q + k]))
-    right, more = reach(a[p + n :], b[q + n :])
+    right, more = reach(a[p + n : p + n + REACH], b[q + n : q + n + REACH])
     return start, p + n + right, other_start, q + n + right, equal + more
 
 
 def spans(chained: DataFrame, docs: DataFrame) -> DataFrame:
-    """Aligned spans: doc_id, first_id, start, end, equal."""
-    first = lambda c, d: F.greatest(F.get(c, F.lit(0)) - REACH, F.lit(0)).alias(d)
-    size = lambda c, low: (F.element_at(c, -1) + K + REACH - low).alias("n")
-    chained = chained.select("*", first("places", "low"), first("first_places", "first_low"))
-    sides = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("doc_id").alias("of"), F.col("low"), size("places", F.col("low"))),
-        F.struct(F.lit(1).alias("side"), F.col("first_id").alias("of"), F.col("first_low").alias("low"), size("first_places", F.col("first_low"))),
-    )
-    wanted = chained.select("doc_id", "first_id", "places", "first_places", F.explode(sides).alias("s"))
-    wanted = wanted.select("doc_id", "first_id", "places", "first_places", "s.*")
+    """Aligned spans: doc_id, first_id, start, end. Of each text, a pair gets the words its chains can reach."""
+
+    def side(n: int, of: str, places: str) -> Column:
+        low = F.greatest(F.array_min(F.transform(f"chains.{places}", F.array_min)) - REACH, F.lit(0))
+        high = F.array_max(F.transform(f"chains.{places}", F.array_max)) + K + REACH
+        return F.struct(F.lit(n).alias("side"), F.col(of).alias("of"), low.alias("low"), (high - low).alias("n"), F.when(F.lit(n == 0), F.col("chains")).alias("chains"))
+
+    sides = F.explode(F.array(side(0, "doc_id", "places"), side(1, "first_id", "first_places")))
+    wanted = chained.select("doc_id", "first_id", sides.alias("s")).select("doc_id", "first_id", "s.*")
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text"))
     cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.col("low") + 1, F.col("n")), " ")
-    sliced = wanted.join(texts, wanted["of"] == texts["id"]).select("doc_id", "first_id", "places", "first_places", "side", cut.alias("words"))
-    both = sliced.groupBy("doc_id", "first_id", "places", "first_places").agg(
-        F.min(F.when(F.col("side") == 0, F.col("words"))).alias("a"), F.min(F.when(F.col("side") == 1, F.col("words"))).alias("b")
+    sliced = wanted.join(texts, wanted["of"] == texts["id"]).select("doc_id", "first_id", "side", "low", "chains", cut.alias("words"))
+
+    def one(n: int, column: str, alias: str) -> Column:
+        return F.min(F.when(F.col("side") == n, F.col(column))).alias(alias)
+
+    both = sliced.groupBy("doc_id", "first_id").agg(
+        F.first("chains", ignorenulls=True).alias("chains"), one(0, "low", "low"), one(1, "low", "first_low"), one(0, "words", "a"), one(1, "words", "b")
     )
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, first_id, places, others, a, b in zip(*[c.to_pylist() for c in batch.columns]):
-                low, other_low = max(places[0] - REACH, 0), max(others[0] - REACH, 0)
-                chain = [(p - low, q - other_low) for p, q in zip(places, others)]
-                start, end, _, _, equal = align(a.encode().lower().split(), b.encode().lower().split(), chain)
-                if equal >= LEAST_SHARE * (end - start):
-                    rows.append((doc_id, first_id, start + low, end + low, equal))
+            for doc_id, first_id, found, low, first_low, a, b in zip(*[c.to_pylist() for c in batch.columns]):
+                a, b = a.encode().lower().split(), b.encode().lower().split()
+                for chain in found:
+                    anchors = [(p - low, q - first_low) for p, q in zip(chain["places"], chain["first_places"])]
+                    start, end, _, _, equal = align(a, b, anchors)
+                    if equal >= LEAST_SHARE * (end - start):
+                        rows.append((doc_id, first_id, start + low, end + low))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "first_id", "start", "end", "equal"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "first_id", "start", "end"])
 
-    return both.mapInArrow(compare, "doc_id bigint, first_id bigint, start bigint, end bigint, equal bigint")
+    return both.mapInArrow(compare, "doc_id bigint, first_id bigint, start bigint, end bigint")
 
 
 def merged(parts: list[tuple[int, int, int]], least_words: int) -> list[tuple[int, int, int, list[int]]]:
