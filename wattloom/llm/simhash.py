@@ -153,6 +153,8 @@ def with_components(marked: DataFrame, budget: int = BUDGET) -> DataFrame:
     named = placed.join(names, "root").select(F.col("fp").alias("__llm_fp"), "name")
     both = classes.join(named, classes["fp"] == named["__llm_fp"], "left")
     answers = both.select(F.col("fp").alias("__llm_fp"), F.when(F.col("__llm_fp").isNull(), F.col("least")).otherwise(F.col("name")).alias("component_id"))
+    # Written, so that the join is of two plain exchanges, which the adaptive planner splits at a fingerprint of many copies.
+    answers = written(answers, "answers")
     return marked.join(answers, marked["fp"] == answers["__llm_fp"]).drop("__llm_fp")
 
 
