@@ -45,7 +45,7 @@ def test_other_tokenizers_get_whole_texts():
 
 
 def test_special_strings_and_full_cache(monkeypatch):
-    monkeypatch.setattr("wattloom.llm.tokens.CACHED", 3)
+    monkeypatch.setattr("wattloom.llm.tokens.CACHED", dict.fromkeys(("chunks", "words", "others"), 3))
     encoder = Encoder(default_path())
     texts = ["one two three four five", "<|endoftext|>a b<|startoftext|> c", "two six one", ""]
     data = [text.encode() for text in texts]

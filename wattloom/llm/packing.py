@@ -29,7 +29,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -94,25 +93,6 @@ class Order:
         return doc[some], start[some], end[some], window[some]
 
 
-def queue_tokens(docs: DataFrame, path: str, end_id: int, source: str) -> DataFrame:
-    """The ids of all documents, each with the partition that wrote it and its place among the partition's ids of its source."""
-    named = docs.select("doc_id", F.col(source).cast("string").alias("source"), "text")
-    tokens = tokenized(named, path, end_id, ("source",))
-
-    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, so_far = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            before = []
-            for name, n in zip(batch.column("source").to_pylist(), batch.column("n_tokens").to_pylist()):
-                before.append(so_far.get(name, 0))
-                so_far[name] = before[-1] + n
-            columns = [*batch.columns, pa.array([part] * batch.num_rows, pa.int64()), pa.array(before, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "part", "before"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
-    return written(tokens.mapInArrow(place, f"{kinds}, part bigint, before bigint"), "queue-tokens")
-
-
 def with_queues(tokens: DataFrame, queues: int, weights: dict[str | None, float] | None) -> tuple[DataFrame, list[int], list[int]]:
     """Rows with queue and at (place of the first id in the queue); the queues' sizes and weights."""
     segments = written(tokens.groupBy("source", "part").agg(F.sum("n_tokens").alias("n")), "queue-parts")
@@ -157,7 +137,7 @@ def pack(
     ``weights`` names target proportions by source; "*" is for the sources that share a queue. A source of weight 0 is
     served at the least weight there is.
     """
-    tokens = queue_tokens(docs, path or default_path(), end_id, source)
+    tokens = written(tokenized(docs, path or default_path(), end_id, source), "queue-tokens")
     placed, sizes, scaled = with_queues(tokens, queues, weights)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

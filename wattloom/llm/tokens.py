@@ -19,12 +19,15 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from wattloom.llm.common import text_of
 
 END_ID = 2
-CACHED = 400_000
+# Ids kept by a worker: of chunks, of plain words, and of all else; some 120 MB.
+CACHED = {"chunks": 350_000, "words": 250_000, "others": 60_000}
 # Latin letters whose lower case is one letter, then ASCII signs that are no letter, digit, apostrophe or control.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
 # How byte-level models write bytes as characters: printable ones as they are, all others from 256 on.
@@ -33,6 +36,8 @@ _WRITTEN = {byte: 256 + k for k, byte in enumerate(b for b in range(256) if b no
 # What the tokenizer must do with a text for the rules above to hold.
 _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# One of each for a worker: making them costs more than packing a short text.
+_compressor, _decompressor = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 _encoders: dict[str, Encoder] = {}
 
 
@@ -66,14 +71,16 @@ def splits_like_words(tokenizer) -> bool:
 class _Known(dict):
     """Ids kept for later batches, and those of the present one for which there is no room."""
 
-    fresh: dict = {}
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.fresh = most, {}
 
     def __missing__(self, key):
         return self.fresh[key]
 
     def learn(self, fresh: dict) -> None:
         self.fresh = fresh
-        if len(self) + len(fresh) <= CACHED:
+        if len(self) + len(fresh) <= self.most:
             self.update(fresh)
 
 
@@ -87,7 +94,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.by_words, self.model = splits_like_words(self.tokenizer), self.tokenizer.model
-        self.chunks, self.words, self.others = _Known(), _Known(), _Known()
+        self.chunks, self.words, self.others = (_Known(CACHED[kind]) for kind in ("chunks", "words", "others"))
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -124,33 +131,36 @@ class Encoder:
 
 
 def packed(ids: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(ids)
+    return _compressor.compress(ids)
 
 
 def unpacked(data: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype)
+    return np.frombuffer(_decompressor.decompress(data), dtype)
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns ``keep``, n_tokens (with the end id), dtype, and ids: packed little-endian ids of the whole text."""
-    source = docs.select("doc_id", *keep, text_of().cast("binary").alias("__llm_text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__llm_text")
+def tokenized(docs: DataFrame, path: str, end_id: int = END_ID, source: str | None = None) -> DataFrame:
+    """doc_id, n_tokens (with the end id), dtype, and ids: packed little-endian ids of the whole text.
+
+    With a column ``source``, also its value, the partition, and how many ids of that source the partition has before.
+    """
+    named = docs.select("doc_id", *([F.col(source).cast("string").alias("source")] if source else []), text_of().cast("binary").alias("__llm_text"))
+    kinds = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_tokens bigint, dtype string, ids binary"
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(path)
+        encoder, part, so_far = Encoder.of(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                ids = encoder.encode(part.column("__llm_text").to_pylist(), end_id)
-                names = [n for n in part.schema.names if n != "__llm_text"]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *[part.column(n) for n in names],
-                        pa.array([len(x) // encoder.dtype.itemsize for x in ids], pa.int64()),
-                        pa.array([encoder.dtype.str] * len(ids), pa.string()),
-                        pa.array([packed(x) for x in ids], pa.binary()),
-                    ],
-                    names=[*names, "n_tokens", "dtype", "ids"],
-                )
-
-    return source.mapInArrow(encode, f"{kinds}, n_tokens bigint, dtype string, ids binary")
+                rows = batch.slice(start, 512)
+                ids = encoder.encode(rows.column("__llm_text").to_pylist(), end_id)
+                counts = [len(x) // encoder.dtype.itemsize for x in ids]
+                columns = {"doc_id": rows.column("doc_id"), "n_tokens": pa.array(counts, pa.int64())}
+                columns |= {"dtype": pa.array([encoder.dtype.str] * len(ids), pa.string()), "ids": pa.array([packed(x) for x in ids], pa.binary())}
+                if source:
+                    before = []
+                    for name, n in zip(rows.column("source").to_pylist(), counts):
+                        before.append(so_far.get(name, 0))
+                        so_far[name] = before[-1] + n
+                    columns |= {"source": rows.column("source"), "part": pa.array([part] * len(ids), pa.int64()), "before": pa.array(before, pa.int64())}
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return named.mapInArrow(encode, f"{kinds}, source string, part bigint, before bigint" if source else kinds)
