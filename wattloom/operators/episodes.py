@@ -129,7 +129,7 @@ def energy_from_power(
         # least() skips NULL, so the first reading needs a case of its own.
         used = since if max_gap_s is None else F.least(since, F.lit(max_gap_s * 1000))
         gap = F.when(since.isNull(), F.lit(0)).otherwise(used)
-        gap = gap.cast("double" if scale is None else "decimal(10,0)")
+        gap = gap.cast("double" if scale is None else "decimal(12,0)")
         rows = rows.over(rows.df.withColumn("_used", value * gap).drop("prev_timestamp"))
         unit = 3_600_000.0
     summed = running_total(rows, "_used", "_sum").result()

@@ -115,8 +115,8 @@ def _(s):
     "energy_from_power",
     """, seen as (select device_id, timestamp, power_kw, lag(timestamp) over (partition by device_id order by timestamp) as before
  from evse_electrical),
-gaps as (select *, cast(case when before is null then 0 else least((epoch_us(timestamp) - epoch_us(before)) // 1000, 300000) end
- as decimal(10,0)) as gap_ms from seen)
+gaps as (select *, cast(case when before is null then 0 else (epoch_us(timestamp) - epoch_us(before)) // 1000 end
+ as decimal(12,0)) as gap_ms from seen)
 select device_id, timestamp, power_kw, cast(sum(cast(power_kw as decimal(18,4)) * gap_ms) over (partition by device_id
  order by timestamp rows between unbounded preceding and current row) as double) / 3600000 as energy_kwh from gaps""",
     ("evse_electrical",),
