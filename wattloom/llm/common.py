@@ -7,8 +7,9 @@ space (space, tab to carriage return) and a word is a run of other characters.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +41,10 @@ def as_bytes(column: Column | str) -> Column:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, also where ``body`` uses it inside a lambda."""
     return F.transform(F.array(value), body)[0]
+
+
+def sliced(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in parts, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from wattloom.llm.common import text_of, written
+from wattloom.llm.common import sliced, text_of, written
 from wattloom.llm.passages import word_hashes
 
 TRAIN_ROWS = 5_000
@@ -109,7 +109,7 @@ def learn_domains(docs: DataFrame, labelled: DataFrame, names: list[str], rows:
     both = docs.select("doc_id", text_of().cast("binary").alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("__llm_id"))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             x = [word_counts(text)[0].astype("<f2").tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("__llm_domain"), pa.array(x, pa.binary())], names=["doc_id", "domain", "x"])
 
@@ -124,7 +124,7 @@ def memberships(docs: DataFrame, model: Domains) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def judge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             p, words = model.posteriors(batch.column("text").to_pylist())
             columns = [batch.column("doc_id"), pa.array(words), pa.array(list(p), pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "posteriors"])

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import text_of, written
+from wattloom.llm.common import sliced, text_of, written
 from wattloom.llm.components import components
 
 SHINGLE, SEED, BUDGET = 3, 42, 2
@@ -68,7 +68,7 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "__llm_text")
 
     def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [fingerprint(text) for text in batch.column("__llm_text").to_pylist()]
             names = [n for n in batch.schema.names if n != "__llm_text"]
             fps = pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())

@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from wattloom.llm.common import text_of
 
 END_ID = 2
-# Ids kept by a worker: of chunks, of plain words, and of all else; some 120 MB.
-CACHED = {"chunks": 350_000, "words": 250_000, "others": 60_000}
+# Ids kept by a worker: of chunks, of plain words, and of all else; some 90 MB.
+CACHED = {"chunks": 300_000, "words": 200_000, "others": 40_000}
 # Latin letters whose lower case is one letter, then ASCII signs that are no letter, digit, apostrophe or control.
 _PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)([!-&(-/:-@\\[-`{-~]*)")
 # How byte-level models write bytes as characters: printable ones as they are, all others from 256 on.
