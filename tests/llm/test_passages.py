@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wattloom.llm.passages import K, WINDOW, align, chains, common_words, repeated_passages, seeds, word_hashes
+from wattloom.llm.passages import K, WINDOW, align, chains, common_words, merged, repeated_passages, seeds, word_hashes
 
 
 def test_word_hashes():
@@ -101,3 +101,30 @@ def test_no_holder_is_lost(spark, copies):
     runs = {i: {tuple(w[j : j + 60]) for j in range(len(w) - 59)} for i, w in docs.items()}
     expected = {i for i in docs if any(runs[i] & runs[j] for j in range(i))}
     assert expected <= found and all(any(set(docs[i]) & set(docs[j]) for j in range(i)) for i in found)
+
+
+@given(st.lists(st.tuples(st.integers(0, 160), st.integers(1, 60), st.integers(1, 3)), max_size=10))
+@settings(max_examples=300, deadline=None)
+def test_merged_spans_against_brute_force(spans):
+    parts = sorted((a, a + n, f) for a, n, f in spans)
+    good = set()
+    for i in range(len(parts)):
+        high = parts[i][1]
+        for j in range(i, len(parts)):
+            if parts[j][0] > high + WINDOW:
+                break
+            high = max(high, parts[j][1])
+            low, words = parts[i][0], {w for a, b, _ in parts[i : j + 1] for w in range(a, b)}
+            if high - low >= 50 and 5 * len(words) >= 4 * (high - low):
+                good.add((low, high))
+    largest = {x for x in good if not any(y != x and y[0] <= x[0] and x[1] <= y[1] for y in good)}
+    found = merged(parts, 50)
+    assert sorted((a, b) for a, b, _, _ in found) == sorted(largest)
+    assert all(n == b - a and firsts == sorted({f for x, y, f in parts if a <= x and y <= b}) for a, b, n, firsts in found)
+
+
+def test_a_passage_beside_stock_phrases():
+    """A group of spans that lacks its share is not lost: the runs inside that have it are reported."""
+    assert merged([(0, 60, 1), (76, 84, 2), (100, 108, 3)], 50) == [(0, 84, 84, [1, 2])]
+    assert merged([(0, 60, 1), (76, 78, 2), (94, 96, 3), (112, 180, 1)], 50) == [(0, 60, 60, [1]), (94, 180, 86, [1, 3])]
+    assert merged([(0, 40, 1), (56, 64, 2), (80, 88, 3)], 50) == []

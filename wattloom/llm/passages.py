@@ -10,7 +10,8 @@
 4. Alignment: a chain is aligned word by word, between its seeds and beyond its ends, in slices of the two texts.
    A seed is only a hint; what is reported has been compared.
 5. Passages: a document's aligned spans are merged where they lie within a window of each other, whichever documents they
-   come from, since the first holder may change inside a passage. Merged spans of at least ``LEAST_WORDS`` words are reported.
+   come from, since the first holder may change inside a passage. The largest runs of spans that have at least
+   ``LEAST_WORDS`` words, ``LEAST_SHARE`` of them in spans, are reported.
 
 Known limit of linking first holders only: where the first holders of a passage's seeds each hold just a part of it, and
 only a later document holds all, the reported passage may lack a few words at its ends, and is missed if that makes it too
@@ -26,7 +27,9 @@ Identifiers are integers.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -299,18 +302,33 @@ def spans(chained: DataFrame, docs: DataFrame) -> DataFrame:
 def merged(parts: list[tuple[int, int, int]], least_words: int) -> list[tuple[int, int, int, list[int]]]:
     """Spans of one document that lie within a window of each other as passages: start, end, words, first holders.
 
-    A passage needs the least length, and the least share of it must lie in spans.
+    A passage needs the least length, and the least share of it must lie in spans. Of spans that do not meet this together,
+    every largest run that does is a passage; two of these may share spans.
     """
     out, at = [], 0
     parts = sorted(parts)
     while at < len(parts):
-        low, high, _ = parts[at]
-        covered, end = high - low, at + 1
-        while end < len(parts) and parts[end][0] <= high + WINDOW:
-            covered += max(0, parts[end][1] - max(high, parts[end][0]))
-            high, end = max(high, parts[end][1]), end + 1
-        if high - low >= least_words and covered >= LEAST_SHARE * (high - low):
-            out.append((low, high, high - low, sorted({x[2] for x in parts[at:end]})))
+        # Covered stretches that lie within a window of each other: start, end, the parts up to there.
+        runs, end = [[parts[at][0], parts[at][1], at + 1]], at + 1
+        while end < len(parts) and parts[end][0] <= runs[-1][1] + WINDOW:
+            if parts[end][0] <= runs[-1][1]:
+                runs[-1][1:] = max(runs[-1][1], parts[end][1]), end + 1
+            else:
+                runs.append([parts[end][0], parts[end][1], end + 1])
+            end += 1
+        # Runs i to j have their share if what is covered before j's end, less the share of j's end, is no less than the
+        # same at i's start; best[j] is the largest such value at j or later, so it falls and can be searched.
+        sums = list(accumulate((high - low for low, high, _ in runs), initial=0))
+        best = [sums[j + 1] - LEAST_SHARE * high for j, (_, high, _) in enumerate(runs)]
+        best = list(accumulate(reversed(best), max))  # from the last run to the first
+        last = -1
+        for i, (low, _, _) in enumerate(runs):
+            j = len(runs) - 1 - bisect_left(best, sums[i] - LEAST_SHARE * low - 1e-6)
+            high = runs[j][1]
+            if j > last and high - low >= least_words:
+                first = runs[i - 1][2] if i else at
+                out.append((low, high, high - low, sorted({x[2] for x in parts[first : runs[j][2]]})))
+            last = max(last, j)
         at = end
     return out
 
