@@ -85,3 +85,11 @@ def test_report_against_brute_force(spark):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted({least[g] for g in group}, key=repr)
     assert near_duplicates(docs.limit(0)).collect() == [] and drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_components_without_or_with_shared_identifiers_keep_their_texts(spark):
+    given = [(1, "a b c"), (None, "A b  c"), (None, "alone here now"), (None, "alone here now"), (None, "some other text of its own"), (None, "third one without a name")]
+    given += [(5, "first text under five"), (5, "quite another thing under the same number"), (6, "FIRST text under  five")]
+    docs = spark.createDataFrame([(*r, 1) for r in given], "doc_id long, text string, root int")
+    kept = sorted(((r.doc_id, r.text) for r in drop_near_duplicates(docs.repartition(3)).collect()), key=repr)
+    assert kept == sorted({given[i] for i in (0, 2, 4, 5, 6, 7)}, key=repr)

@@ -19,8 +19,8 @@ copies of any size is one node. Components are computed on the classes.
 
 Nulls and edges: null text is empty, and texts without words have the fingerprint zero, linked like any other. Texts of
 fewer than three words have one shingle. A null identifier is never a component's name unless its rows have no other.
-Repeated rows are classified alike; of rows that repeat both identifier and text one stays. Empty tables give empty
-results.
+Repeated rows are classified alike; of each component one row stays, also where identifiers are null or shared by unlike
+texts. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import sliced, text_of, written
@@ -140,19 +140,20 @@ def decoded(pairs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, budget: int = BUDGET) -> DataFrame:
     """doc_id, fp and component_id: the smallest doc_id reachable over links, the row's own included."""
     marked = written(fingerprints(docs.select("doc_id", "text")), "fingerprints")
-    return with_components(marked, budget)
+    return with_components(marked, budget).drop("root")
 
 
 def with_components(marked: DataFrame, budget: int = BUDGET) -> DataFrame:
-    """Rows with a fingerprint fp, and their component_id."""
+    """Rows with a fingerprint fp, their root (a fingerprint that stands for the component) and component_id."""
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
     links = linked_fingerprints(classes.select("fp"), budget)
     roots = written(components(links), "roots")
     placed = classes.join(roots, classes["fp"] == roots["node"])
     names = placed.groupBy("root").agg(F.min("least").alias("name"))
-    named = placed.join(names, "root").select(F.col("fp").alias("__llm_fp"), "name")
+    named = placed.join(names, "root").select(F.col("fp").alias("__llm_fp"), "root", "name")
     both = classes.join(named, classes["fp"] == named["__llm_fp"], "left")
-    answers = both.select(F.col("fp").alias("__llm_fp"), F.when(F.col("__llm_fp").isNull(), F.col("least")).otherwise(F.col("name")).alias("component_id"))
+    name = F.when(F.col("__llm_fp").isNull(), F.col("least")).otherwise(F.col("name"))
+    answers = both.select(F.col("fp").alias("__llm_fp"), F.coalesce("root", "fp").alias("root"), name.alias("component_id"))
     # Written, so that the join is of two plain exchanges, which the adaptive planner splits at a fingerprint of many copies.
     answers = written(answers, "answers")
     return marked.join(answers, marked["fp"] == answers["__llm_fp"]).drop("__llm_fp")
@@ -165,10 +166,16 @@ def near_duplicate_report(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: the one with the smallest identifier."""
-    keepers = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keepers = keepers.select(F.col("doc_id").alias("__llm_id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy(text_of())
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["__llm_id"]), "left_semi")
-    kept = kept.withColumn("__llm_copy", F.row_number().over(first))
-    return kept.where("__llm_copy = 1").select(*[docs[c] for c in docs.columns])
+    """One document of each component, with all its columns: the one with the smallest identifier, then text digest.
+
+    Components are told apart by their roots, not by identifiers, which may be null or shared by unlike texts. All steps
+    are minima or firsts that combine before the shuffle.
+    """
+    digest = F.unhex(F.sha2(text_of(), 256))
+    marked = written(fingerprints(docs.select("doc_id", "text", digest.alias("__llm_digest")), ("__llm_digest",)), "fingerprints")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__llm_digest")).alias("k")
+    keepers = with_components(marked).groupBy("root").agg(least)
+    keepers = keepers.select(F.col("k.doc_id").alias("__llm_id"), F.col("k.__llm_digest").alias("__llm_kept"))
+    rows = docs.withColumn("__llm_digest", digest)
+    same = rows["doc_id"].eqNullSafe(keepers["__llm_id"]) & (rows["__llm_digest"] == keepers["__llm_kept"])
+    return rows.join(keepers, same, "left_semi").dropDuplicates(["doc_id", "__llm_digest"]).select(*docs.columns)
