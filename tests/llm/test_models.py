@@ -97,3 +97,27 @@ def test_mixing_without_rows_or_labels(spark):
 def test_labelled_table(spark, sf):
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
     assert labelled_domains(docs, labels).count() == labels.join(docs, "doc_id").count()
+
+
+@pytest.mark.parametrize("least", [0.0, 1.0])
+def test_scarce_domains_reach_their_targets(spark, least):
+    """Domains of 1% with targets far above eight times that."""
+    rng = np.random.default_rng(2)
+    kinds = rng.choice(4, 4000, p=[0.95, 0.03, 0.01, 0.01])
+    p = 0.94 * np.eye(4)[kinds] + 0.06 * rng.dirichlet([1.0] * 4, 4000)
+    tokens = rng.integers(50, 150, 4000)
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p)], "n_tokens long, posteriors array<double>")
+    goal = np.array([0.5, 0.2, 0.15, 0.15])
+    rates = fit_rates(members, goal.tolist(), least)
+    totals = (tokens * rates.of(p)) @ p
+    assert rates.met and np.abs(totals / totals.sum() - goal).max() < 0.005 and (rates.of(p) >= least).all()
+    assert rates.of(p).max() > 8
+
+
+def test_a_missed_target_is_reported(spark):
+    members = spark.createDataFrame([(100, [1.0, 0.0])] * 99 + [(100, [0.0, 1.0])], "n_tokens long, posteriors array<double>")
+    rates = fit_rates(members, [0.5, 0.5], 0.0, 8.0)
+    assert not rates.met and abs(rates.errors[1] + 0.42) < 0.01
+    docs = spark.createDataFrame(texts(), "doc_id long, text string, lang string, rate int")
+    with pytest.warns(UserWarning, match="b -"):
+        mixed(docs, docs.select("doc_id", F.col("lang").alias("domain")), {"a": 1, "b": 19}, most=2.0)

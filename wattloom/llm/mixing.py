@@ -16,15 +16,17 @@ The classifier is softmax regression on hashed words, fitted on the driver over
 documents (a documented bound). Tokens are words.
 
 Nulls and edges: null text is empty, has no tokens and the prior's posterior. Null labels, and domains without a target,
-are not learned from. Without any label all domains are alike. Weights are scaled to sum to 1. A target that the bounds
-forbid is met as nearly as they allow. Copies are the rate rounded up or down by a hash of the identifier, so rows that
+are not learned from. Without any label all domains are alike. Weights are scaled to sum to 1. Rates have no upper bound
+unless the caller gives one. A target that the bounds or the documents forbid is met as nearly as the steps get; the fit
+then carries what each domain lacks, and a warning names it. Copies are the rate rounded up or down by a hash of the identifier, so rows that
 share an identifier are rounded alike. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Iterator, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -39,7 +41,7 @@ from wattloom.llm.passages import word_hashes
 TRAIN_ROWS = 5_000
 WIDTH = 2048
 STEPS, CLOSE = 40, 1e-3
-LEAST_RATE, MOST_RATE = 0.0, 8.0
+LEAST_RATE, MOST_RATE = 0.0, float("inf")
 
 
 def word_counts(text: bytes) -> tuple[np.ndarray, int]:
@@ -86,11 +88,16 @@ class Domains:
 
 @dataclass
 class Rates:
-    """Rates as a function of the posteriors: the steps taken, and the bounds."""
+    """Rates as a function of the posteriors: the steps taken, and the bounds; and how the fit ended.
+
+    ``errors`` are the domains' expected tokens less their targets, as shares of all target tokens.
+    """
 
     steps: list[np.ndarray]
     least: float
     most: float
+    errors: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    met: bool = True
 
     def of(self, p: np.ndarray) -> np.ndarray:
         rate = np.clip(np.ones(len(p)), self.least, self.most)
@@ -159,21 +166,25 @@ def fit_rates(members: DataFrame, weights: list[float], least: float = LEAST_RAT
     """Rates under which the expected tokens have the target weights.
 
     Their sum stays that of the table, or, if no document may be left out (``least`` of 1 or more), becomes the smallest
-    with which no domain has to shrink.
+    with which no domain has to shrink. The result has the steps up to the smallest error, and that error.
     """
     share = np.array(weights, float) / sum(weights)
     rates, targets = Rates([], least, most), None
-    for _ in range(STEPS):
+    best = Rates([], least, most, np.zeros(len(share)))
+    for n in range(STEPS + 1):
         totals, q = state(members, rates, len(share))
         if not totals.any():
             break
         if targets is None:
             targets = share * (float((totals / share).max()) if least >= 1 else float(totals.sum()))
         error = totals - targets
-        if np.abs(error).max() <= CLOSE * targets.sum() or not q.any():
+        if n == 0 or np.abs(error).max() < np.abs(best.errors).max() * targets.sum():
+            met = bool(np.abs(error).max() <= CLOSE * targets.sum())
+            best = Rates(list(rates.steps), least, most, error / targets.sum(), met)
+        if best.met or not q.any():
             break
         rates.steps.append(np.linalg.lstsq(q + 1e-9 * np.trace(q) * np.eye(len(share)), error, rcond=None)[0])
-    return rates
+    return best
 
 
 def copies(rate: Column) -> Column:
@@ -187,7 +198,11 @@ def mixture(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
     names = sorted(name for name, weight in targets.items() if weight > 0)
     model = learn_domains(docs, labelled, names)
     members = written(memberships(docs, model), "memberships")
-    return members, model, fit_rates(members, [targets[n] for n in names], least, most)
+    rates = fit_rates(members, [targets[n] for n in names], least, most)
+    if not rates.met:
+        left = ", ".join(f"{name} {error:+.2%}" for name, error in zip(names, rates.errors))
+        warnings.warn(f"the mixture misses its targets, in shares of all tokens: {left}", stacklevel=2)
+    return members, model, rates
 
 
 def mixing_report(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], least: float = LEAST_RATE, most: float = MOST_RATE) -> DataFrame:
