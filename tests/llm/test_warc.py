@@ -9,6 +9,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.llm.warc import Members, page_record, read_warc, warc_report, warcinfo, write_warc
 
@@ -71,3 +72,17 @@ def test_damage_is_found():
     data = warcinfo("<urn:uuid:out>") + page_record(2, None, b"x" * 1000, None, "<urn:uuid:out>")
     with pytest.raises((ValueError, zlib.error)):
         list(Members(io.BytesIO(data[:-20])).records(0, len(data)))
+
+
+def test_a_header_of_any_length(spark):
+    rng = random.Random(9)
+    rows = [(1, "http://h/" + "a" * (1 << 21), "long"), (2, "http://h/" + rng.randbytes(800_000).hex(), "noise"), (3, "http://h/3", "short")]
+    docs = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted(map(tuple, warc_report(docs).collect()), key=repr) == expected(rows)
+
+
+def test_missing_records_are_found(spark, tmp_path):
+    docs = spark.createDataFrame(pages()[:20], "page_id long, url string, html string").repartition(1)
+    manifest = write_warc(docs, str(tmp_path)).withColumn("records", F.col("records") + 1)
+    with pytest.raises(ValueError, match="has 21 records, 20 were read"):
+        read_warc(manifest, str(tmp_path))

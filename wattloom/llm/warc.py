@@ -7,7 +7,8 @@ that finished. Each file starts with a warcinfo record, and each record names it
 Reading: files are cut into byte ranges. A task scans its range for the gzip magic, decodes the start of each candidate
 member, and takes it for a record if that is a WARC header which names the file's warcinfo record (a payload may itself
 hold archives). A task owns the records that start inside its range and reads past its end to complete the last one.
-Payloads are compared with their digests.
+Payloads are compared with their digests, and the number of records of each file with the manifest. A header may have any
+length.
 
 Nulls and edges: a null payload is empty; a null page_id is kept, and is the target of revisits only if no other
 identifier has the payload; a null url is left out. Rows that share the largest page_id of a payload are all responses.
@@ -38,7 +39,6 @@ SPLIT_BYTES = 4 << 20
 LEAST_PAYLOAD = 0
 GZIP = b"\x1f\x8b\x08"
 STEP = 1 << 16
-HEADER_LIMIT = 1 << 20
 DATE = "1970-01-01T00:00:00Z"  # the pages carry no time of their own
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LENGTH = "X-Payload-Length"
@@ -135,24 +135,25 @@ class Members:
 
     def header(self, place: int) -> dict[str, str] | None:
         """The WARC header of the member that starts at ``place``, or None if none starts there."""
-        unpack, text = zlib.decompressobj(31), b""
-        while len(text) < HEADER_LIMIT:
-            data = self.at(place, STEP)
-            place += len(data)
+        unpack, text, seen = zlib.decompressobj(31), bytearray(), 0
+        while True:
+            data = unpack.unconsumed_tail
+            if not data:
+                data = self.at(place, STEP)
+                place += len(data)
             try:
                 text += unpack.decompress(data, STEP)
-                while unpack.unconsumed_tail and b"\r\n\r\n" not in text and len(text) < HEADER_LIMIT:
-                    text += unpack.decompress(unpack.unconsumed_tail, STEP)
             except zlib.error:
                 return None
             if not text.startswith(b"WARC/1."[: len(text)]):
                 return None
-            if b"\r\n\r\n" in text:
-                lines = text.partition(b"\r\n\r\n")[0].decode("utf-8", "replace").split("\r\n")[1:]
+            end = text.find(b"\r\n\r\n", max(0, seen - 3))
+            if end >= 0:
+                lines = text[:end].decode("utf-8", "replace").split("\r\n")[1:]
                 return {name.strip().lower(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
             if not data or unpack.eof:
                 return None
-        return None
+            seen = len(text)
 
     def whole(self, place: int) -> tuple[bytes, int]:
         """The content of the member that starts at ``place``, and where it ends."""
@@ -192,10 +193,13 @@ class Members:
 
 
 def read_warc(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES, with_payload: bool = True) -> DataFrame:
-    """Every response and revisit of the archives: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload."""
+    """Every response and revisit of the archives: page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload.
+
+    The records read are counted by file; a file that gives more or fewer than its manifest says is an error.
+    """
     starts = F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start")
     ranges = manifest.where("bytes > 0").select("file", starts).withColumn("end", F.col("start") + split_bytes)
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary()), ("file", pa.string())])
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +216,7 @@ def read_warc(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES,
                         if kind == "response" and digest32(payload) != digest:
                             raise ValueError(f"the payload of {head.get('warc-record-id')} does not match its digest")
                         kept = payload if with_payload and kind == "response" else None
-                        rows.append((urn_page(head.get("warc-record-id")), head.get("warc-target-uri"), size, digest, kind, urn_page(head.get("warc-refers-to")), kept))
+                        rows.append((urn_page(head.get("warc-record-id")), head.get("warc-target-uri"), size, digest, kind, urn_page(head.get("warc-refers-to")), kept, name))
                         held += len(kept or b"") + 200
                         if held > 8 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
@@ -220,8 +224,13 @@ def read_warc(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES,
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    kinds = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary"
-    return ranges.repartition(shuffle_partitions(manifest.sparkSession)).mapInArrow(read, kinds)
+    kinds = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, payload binary, file string"
+    rows = written(ranges.repartition(shuffle_partitions(manifest.sparkSession)).mapInArrow(read, kinds), "warc-records")
+    counts = rows.groupBy(F.col("file").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    wrong = manifest.join(counts, manifest["file"] == counts["name"], "left").where("coalesce(n, 0) <> records").head()
+    if wrong is not None:
+        raise ValueError(f"{wrong.file} has {wrong.records} records, {wrong.n or 0} were read")
+    return rows.drop("file")
 
 
 def warc_report(pages: DataFrame) -> DataFrame:
