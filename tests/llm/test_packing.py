@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from wattloom.llm import packing
 from wattloom.llm.packing import Order, pack, packing_report
 from wattloom.llm.tokens import default_path
 
@@ -82,3 +83,28 @@ def test_windows_hold_the_target_proportions(spark):
         if r.sequence_id < 3000 * 6 // 4096:
             assert abs(r["sum(length)"] - 4096 * share[r.source]) <= 2
     assert packing_report(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("leaf", [128, 3])
+def test_sources_that_share_a_queue_keep_their_proportions(spark, monkeypatch, leaf):
+    """Forty sources of equal size beside two queues, in order of source: each window holds ids of all of them."""
+    monkeypatch.setattr(packing, "LEAF", leaf)
+    docs = spark.createDataFrame([(i, "a b c d e", f"s{i // 100:02}") for i in range(4000)], "doc_id long, text string, source string")
+    n = len(ids_of("a b c d e"))
+    rows = pack(docs.repartition(4), length=420, queues=2).join(docs.select("doc_id", "source"), "doc_id").collect()
+    held, ids = defaultdict(Counter), Counter()
+    for r in rows:
+        held[r.sequence_id][r.source] += r.length
+        ids[r.doc_id] += r.length
+    assert set(ids.values()) == {n} and len(ids) == 4000
+    full = [c for w, c in held.items() if w < 4000 * n // 420]
+    assert full and all(sum(c.values()) == 420 and len(c) == 40 and max(abs(v - 10.5) for v in c.values()) <= 4 for c in full)
+
+
+def test_every_named_weight_is_honoured(spark):
+    docs = spark.createDataFrame([(i, "a b c d e", f"s{i % 8}") for i in range(1600)], "doc_id long, text string, source string")
+    rows = pack(docs, length=128, queues=2, weights={"s7": 4, "s6": 2, "s5": 1, "*": 1}).join(docs.select("doc_id", "source"), "doc_id")
+    first = {r.source: r.n for r in rows.where("sequence_id = 0").groupBy("source").agg({"length": "sum"}).toDF("source", "n").collect()}
+    assert abs(first["s7"] - 64) <= 2 and abs(first["s6"] - 32) <= 2 and abs(first["s5"] - 16) <= 2
+    with pytest.raises(ValueError, match="not negative"):
+        pack(docs, weights={"s1": -1.0})
