@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattloom.llm.checksums import crc32_sql
 from wattloom.llm.common import table
 from wattloom.llm.exact_dedup import exact_dedup_report
+from wattloom.llm.hard_negatives import hard_negative_report
 from wattloom.llm.line_dedup import line_report
 from wattloom.llm.mixing import mixing_report
 from wattloom.llm.packing import packing_report
 from wattloom.llm.passages import repeated_passages
 from wattloom.llm.quality_model import quality_scores
 from wattloom.llm.quality_rules import quality_report
+from wattloom.llm.resampling import importance_report
+from wattloom.llm.sharding import shard_report
 from wattloom.llm.simhash import near_duplicate_report
 from wattloom.llm.token_files import token_file_report
 from wattloom.llm.warc import warc_report
@@ -70,6 +74,18 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_report(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negative_report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(table(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_quality_model": op2_quality_model,
@@ -81,6 +97,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_passages": op9_passages,
     "op10_token_files": op10_token_files,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_sharding": op12_sharding,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLES: dict[str, str] = {
@@ -150,4 +169,87 @@ ORACLES: dict[str, str] = {
             case when page_id < target then target end as refers_to
         from coded
     """,
+    "op11_hard_negatives": r"""
+        with taken as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)) as vec
+            from embeddings
+            where vec_id is not null and label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ),
+        scored as (
+            select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same, list_inner_product(a.vec, b.vec)::bigint as score
+            from taken a join taken b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+        ),
+        positives as (
+            select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+            qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+        ),
+        ranked as (
+            select p.*, vec_id as negative_id, score as negative_score,
+                row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id) as rank
+            from positives p join scored s on p.anchor_id = s.anchor_id and not same
+            where 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        )
+        select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from ranked where rank <= 3
+    """,
+    "op12_sharding": f"""
+        with signed as (
+            select doc_id, coalesce('s' || source, 'n') as stratum, strlen(coalesce(text, '')) + 1 as size, {crc32_sql("coalesce(text, '')")} as text_crc32
+            from documents
+        ),
+        keyed as (
+            select *, sha256('12:' || coalesce(doc_id::varchar, '') || ':' || size || ':' || text_crc32) as key,
+                ('0x' || substr(sha256(stratum), 1, 8))::bigint / 4294967296.0::double as shift
+            from signed
+        ),
+        spread as (
+            select *, (row_number() over (partition by stratum order by key) - 1 + shift) / count(*) over (partition by stratum) as fraction from keyed
+        ),
+        numbered as (
+            select *, row_number() over (order by fraction, key) - 1 as position, count(*) over () as rows from spread
+        )
+        select doc_id, size, text_crc32, 'rows' as law, (position * 8 // rows)::integer as shard,
+            position - (position * 8 // rows * rows + 7) // 8 as slot, null::integer as grown_shard
+        from numbered
+    """,
+    "op13_resampling": rf"""
+        with texts as (
+            select true as target, item_id as doc_id, text from benchmark union all select false, doc_id, text from documents
+        ),
+        split as (
+            select target, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+            from texts
+        ),
+        features as (
+            select target, doc_id, w[i] as feature from split, unnest(generate_series(1, len(w))) as u(i)
+            union all
+            select target, doc_id, w[i] || ' ' || w[i + 1] from split, unnest(generate_series(1, len(w) - 1)) as u(i)
+        ),
+        hashed as (
+            select feature, {crc32_sql("feature")} % 10000 as bucket from (select distinct feature from features)
+        ),
+        held as (select target, doc_id, bucket from features join hashed using (feature)),
+        counts as (
+            select bucket, count(*) filter (where not target) as s, count(*) filter (where target) as t from held group by bucket
+        ),
+        gains as (
+            select bucket, floor(1000 * ln(((t + 1.0::double) * (sum(s) over () + 10000.0::double)) / ((s + 1.0::double) * (sum(t) over () + 10000.0::double)))) as gain
+            from counts
+        ),
+        weights as (
+            select doc_id, count(*) as n_features, floor(sum(gain) / count(*))::bigint as weight
+            from held join gains using (bucket) where not target group by doc_id
+        ),
+        scored as (
+            select doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+                coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::bigint + 0.5::double) / 4294967296.0::double)))::bigint as score
+            from split left join weights using (doc_id) where not target
+        ),
+        ranked as (
+            select doc_id, row_number() over (order by score desc, doc_id) as rank, 25 * count(*) over () // 100 as drawn from scored where n_words >= 20
+        )
+        select scored.doc_id, n_features, weight, score, rank from scored left join ranked on scored.doc_id = ranked.doc_id and rank <= drawn
+    """,
 }
