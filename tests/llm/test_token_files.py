@@ -44,14 +44,16 @@ def test_other_tokenizers_get_whole_texts():
     assert ids == [*Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, 2]
 
 
-def test_special_strings_and_full_cache(monkeypatch):
-    monkeypatch.setattr("wattloom.llm.tokens.CACHED", dict.fromkeys(("chunks", "words", "others"), 3))
+def test_special_strings_full_caches_and_long_texts(monkeypatch):
+    monkeypatch.setattr("wattloom.llm.tokens.CACHED", dict.fromkeys(("words", "others"), 700))
+    monkeypatch.setattr("wattloom.llm.tokens._STRETCH", 20)
     encoder = Encoder(default_path())
-    texts = ["one two three four five", "<|endoftext|>a b<|startoftext|> c", "two six one", ""]
+    texts = ["one two three four five", "<|endoftext|>a b<|startoftext|> c", "two six one", "", "Größe, "  * 30 + "x" * 50 + "\n\x0b end."]
     data = [text.encode() for text in texts]
-    for text, ids in zip([texts[3], *texts, *texts], encoder.encode(data[3:]) + encoder.encode(data) + encoder.encode(data)):
+    for text, ids in zip([texts[3], texts[4], *texts, *texts], encoder.encode(data[3:]) + encoder.encode(data) + encoder.encode(data), strict=True):
         assert np.frombuffer(ids, "<u2").tolist() == reference_ids(text)
-    assert len(encoder.chunks) <= 3 and len(encoder.words) <= 3 and len(encoder.others) <= 3
+    assert len(encoder.words.young) + len(encoder.words.old) <= 8 and len(encoder.others.young) + len(encoder.others.old) <= 8
+    assert encoder.encode([]) == []
 
 
 @pytest.mark.parametrize("n", [1, 5, 1023, 1024, 1025, 140_000])

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import as_bytes, text_of
+from wattloom.llm.common import as_bytes, text_of, written
 from wattloom.llm.ranking import PART, PLACE, POSITION, sorted_parts, with_positions
 
 SHARDS, SEED = 8, 12
@@ -82,6 +82,8 @@ def _crc() -> Column:
 def shard_report(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, and grown_shard, which this law leaves null."""
     narrow = docs.select("doc_id", _stratum().alias("__llm_source"), _size().alias("size"), _crc().alias("text_crc32"))
+    # Written, as a range partitioning reads its input twice.
+    narrow = written(narrow, "shards-narrow")
     placed = with_shards(narrow, F.col("__llm_source"), _shuffled(seed, F.col("size"), F.col("text_crc32")), shards)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col(SHARD).alias("shard"), F.col(SLOT).alias("slot"),
