@@ -27,6 +27,7 @@ from wattloom.session import build_session, scratch_dir  # noqa: E402
 from wattloom.sinks.maintenance import compact  # noqa: E402
 from wattloom.sinks.writers import append_curated  # noqa: E402
 from wattloom.streaming.ingest import ingest  # noqa: E402
+from wattloom.suite.derived import IN_ORDER, hot  # noqa: E402
 from wattloom.suite.fixtures import AS_OF, STREAM_SQL, read_stream  # noqa: E402
 
 RUNS = 3
@@ -71,6 +72,7 @@ def main() -> None:
 
     electrical, state, events = tables["evse_electrical"], tables["evse_state"], tables["evse_session_event"]
     staged = staging.stage_electrical(electrical)
+    hot_state = hot(state)  # two thirds of the rows are one device's
     models = {
         "stg_evse_electrical": staged,
         "stg_temperature": staging.stage_temperature(tables["temperature"]),
@@ -84,6 +86,8 @@ def main() -> None:
         "temperature_per_minute": lambda: aggregates.temperature_per_minute(tables["temperature"], as_of=AS_OF),
         "evse_daily_load": lambda: aggregates.daily_load(electrical, as_of=AS_OF),
         "fault_episodes": lambda: episodes.fault_episodes(state),
+        "fault_episodes_hot_plain": lambda: episodes.fault_episodes(hot_state, IN_ORDER),
+        "fault_episodes_hot_cut": lambda: episodes.fault_episodes(hot_state, IN_ORDER, rows // 20),
         "session_summary": lambda: episodes.session_summary(events),
         "dq_monotonic_partitioned": lambda: dq.not_increasing(electrical, "energy_kwh_total", "timestamp", ["device_id"]),
         "dq_monotonic_global": lambda: dq.not_increasing(electrical, "energy_kwh_total", ["timestamp", "device_id"]),

@@ -101,6 +101,30 @@ def test_global_scan_keeps_rows_out_of_one_task(spark):
     assert "SinglePartition" not in row_window and "_piece" in row_window
 
 
+def test_cut_scan_reads_and_shuffles_the_rows_once(spark, tmp_path):
+    spark.createDataFrame(make_rows(), SCHEMA).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    rows = order_rows(table, ["device_id"], ["timestamp", "tie"], 100)
+    scanned = number_runs(rows, ["state"]).result()
+    scanned.collect()
+    plan = scanned._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # The summaries of the pieces come from the same shuffle as the rows.
+    assert rows.cut and plan.count("FileScan parquet") == 1 and plan.count("ReusedExchange") == 1
+    # Only edges of pieces are aggregated, and no sort-based aggregate stands under the shuffle of the rows.
+    assert "SortAggregate" not in plan[plan.rindex("Exchange hashpartitioning") :]
+
+
+def test_steps_between_pieces_see_both_rows(spark):
+    rows = make_rows()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    prepared = order_rows(df, ["device_id"], ["timestamp", "tie"], 100)
+    gap = lambda before, here, first: F.when(first, F.lit(-1)).otherwise(here("tie") - before("tie")).cast("long")
+    got = {r["tie"]: (r["sum"], r["was"]) for r in ordered.scan(prepared, {"state": "was"}, {"sum": gap}).result().collect()}
+    for group in by_key(rows, True).values():
+        for i, row in enumerate(group):
+            assert got[row[2]] == (row[2] - group[0][2] - 1, group[i - 1][3] if i else None)
+
+
 def test_piece_number_matches_search(spark):
     for n in (1, 2, 7, 50):
         cuts = list(range(10, 10 + 3 * n, 3))

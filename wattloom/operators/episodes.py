@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.numbers import fixed, total
 from wattloom.functions.rules import DERATED_FROM_PCT
-from wattloom.operators.ordered import number_runs, order_rows, previous_row, running_total
+from wattloom.operators.ordered import Read, number_runs, order_rows, previous_row, scan
 from wattloom.operators.skew import TASK_ROWS
 
 DEVICE = ("device_id",)
@@ -40,17 +40,17 @@ def fault_episodes(df: DataFrame, order: Sequence[str] = ("timestamp",), task_ro
     """
     needed = dict.fromkeys(["device_id", *order, "fault_active", "fault_code"])
     rows = order_rows(df.select(*needed), DEVICE, order, task_rows)
-    rows = previous_row(rows, ["fault_active"])
-    faulty = F.coalesce("fault_active", F.lit(False))
-    was_faulty = F.coalesce("prev_fault_active", F.lit(False))
+    active = lambda flag: F.coalesce(flag, F.lit(False))
+    begins = lambda before, here, first: (active(here("fault_active")) & ~active(before("fault_active"))).cast("long")
+    scanned = scan(rows, {"fault_active": "_was"}, {"episode": begins}).result()
+    faulty, was_faulty = active(F.col("fault_active")), active(F.col("_was"))
     # Healthy rows matter only right after a fault: they close it.
-    marked = rows.df.withColumn("_start", (faulty & ~was_faulty).cast("long")).where(faulty | was_faulty)
-    numbered = running_total(rows.over(marked), "_start", "episode").df
+    numbered = scanned.where(faulty | was_faulty).withColumn("_start", faulty & ~was_faulty)
     return numbered.groupBy("device_id", "episode").agg(
         F.min(F.when(faulty, F.col("timestamp"))).alias("start_ts"),
         F.max(F.when(faulty, F.col("timestamp"))).alias("end_ts"),
         F.count(F.when(faulty, F.lit(1))).alias("samples"),
-        F.max(F.when(F.col("_start") == 1, F.col("fault_code"))).alias("first_fault_code"),
+        F.max(F.when(F.col("_start"), F.col("fault_code"))).alias("first_fault_code"),
         F.min(F.when(~faulty, F.col("timestamp"))).alias("recovered_at"),
     )
 
@@ -117,23 +117,21 @@ def energy_from_power(
     A reading stands for ``tick_s`` seconds, or, without it, for the time since the reading before
     (milliseconds, at most ``max_gap_s`` seconds if given, nothing for the first one).
     """
-    value = F.col("power_kw") if scale is None else fixed("power_kw", scale)
     needed = df.select(*dict.fromkeys([*keys, *order, "power_kw"]))
     rows = order_rows(needed, keys, order, task_rows)
-    if tick_s is not None:
-        rows = rows.over(rows.df.withColumn("_used", value))
-        unit = 3600.0 / tick_s
-    else:
-        rows = previous_row(rows, ["timestamp"])
-        since = F.timestamp_diff("MILLISECOND", F.col("prev_timestamp"), F.col("timestamp"))
+
+    def used(before: Read, here: Read, first: Column) -> Column:
+        value = here("power_kw") if scale is None else fixed(here("power_kw"), scale)
+        if tick_s is not None:
+            return value
+        since = F.timestamp_diff("MILLISECOND", before("timestamp"), here("timestamp"))
         # least() skips NULL, so the first reading needs a case of its own.
-        used = since if max_gap_s is None else F.least(since, F.lit(max_gap_s * 1000))
-        gap = F.when(since.isNull(), F.lit(0)).otherwise(used)
-        gap = gap.cast("double" if scale is None else "decimal(12,0)")
-        rows = rows.over(rows.df.withColumn("_used", value * gap).drop("prev_timestamp"))
-        unit = 3_600_000.0
-    summed = running_total(rows, "_used", "_sum").result()
-    return summed.withColumn("energy_kwh", F.col("_sum").cast("double") / unit).drop("_used", "_sum")
+        gap = F.when(since.isNull(), F.lit(0)).otherwise(since if max_gap_s is None else F.least(since, F.lit(max_gap_s * 1000)))
+        return value * gap.cast("double" if scale is None else "decimal(12,0)")
+
+    unit = 3_600_000.0 if tick_s is None else 3600.0 / tick_s
+    summed = scan(rows, totals={"_sum": used}).result()
+    return summed.withColumn("energy_kwh", F.col("_sum").cast("double") / unit).drop("_sum")
 
 
 def energy_from_meter(

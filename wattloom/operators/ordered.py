@@ -2,29 +2,34 @@
 
 A window over ``PARTITION BY device ORDER BY time`` puts all rows of a device in one task, which a
 device with a large part of all rows does not survive. ``order_rows`` therefore cuts heavy keys into
-consecutive pieces at sampled cut points. Windows run per (key, piece); what crosses from one piece
-into the next (its last row, its total) is one row per piece, computed by a combinable aggregate and
-joined back by broadcast. Pieces never outnumber twice the shuffle partitions, which bounds both the
-cut points and the broadcast. Cut points are literals in the plan, so a recomputed task sees
-the same pieces. With no heavy key the plan is the plain window.
+consecutive pieces at sampled cut points, and ``scan`` works in one ordered pass: windows run per
+(key, piece), the first and the last row of each piece carry what the piece adds up to, and these
+summaries are combined over the pieces of a key (its last row and total before each piece) and joined
+back by broadcast. Summaries are read off the windows' own output, whose shuffle is the one that the
+rows take, so the table is read twice: for the sample, and for the pass.
+
+Pieces never outnumber twice the shuffle partitions, which bounds both the cut points and the
+broadcast. Cut points are literals in the plan, so a recomputed task sees the same pieces. With no
+heavy key the plan is the plain window.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattloom.operators.skew import TASK_ROWS, heavy_keys, same_keys
+from wattloom.operators.skew import TASK_ROWS, same_keys
 from wattloom.session import shuffle_partitions
 
 PIECE = "_piece"
 CUT = "_cut"
-SAMPLES_PER_PIECE = 20
+SAMPLES_PER_PIECE = 160
 
 
 @dataclass(frozen=True)
@@ -42,8 +47,8 @@ class OrderedRows:
 
     @property
     def window(self) -> WindowSpec:
-        # CUT depends on the key alone; as a window key it lets a filter on it move below the shuffle.
-        return Window.partitionBy(*self.groups, *([CUT] if self.cut else [])).orderBy(*self.order)
+        # CUT is no window key: a filter on it must not move below the shuffle that both uses of the rows share.
+        return Window.partitionBy(*self.groups).orderBy(*self.order)
 
     def over(self, df: DataFrame) -> OrderedRows:
         return replace(self, df=df)
@@ -52,20 +57,33 @@ class OrderedRows:
         return self.df.drop(PIECE, CUT)
 
 
-def _sampled_cuts(df: DataFrame, keys: Sequence[str], order: Sequence[str], share: int, pieces: DataFrame | int) -> list:
-    """(keys..., cut points) rows: evenly spaced members of a sorted sample of each key's order values."""
-    sample = df.where(F.rand(17) < min(1.0, SAMPLES_PER_PIECE / share))
-    if isinstance(pieces, int):
-        sample = sample.withColumn("_pieces", F.lit(pieces))
-    else:
-        sample = sample.join(F.broadcast(pieces), same_keys(sample, pieces, [(k, f"_k_{k}") for k in keys]), "inner")
-    seen = sample.groupBy(*keys, "_pieces").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("_seen"))
-    at = F.transform(
-        F.sequence(F.lit(1), F.col("_pieces") - 1),
-        lambda i: F.get("_seen", F.floor(i * F.size("_seen") / F.col("_pieces")).cast("int")),
-    )
-    cuts = seen.where(F.col("_pieces") > 1).select(*keys, F.array_distinct(at).alias("_cuts"))
-    return cuts.collect()
+@dataclass(frozen=True)
+class _Seen:
+    """A key in the sample: about how many rows it has, and some of its order values, sorted."""
+
+    key: tuple
+    rows: int
+    values: list
+
+
+def _sampled(df: DataFrame, keys: Sequence[str], order: Sequence[str], rate: float, least: int) -> tuple[list[_Seen], int]:
+    """Keys of which the sample has more than ``least`` rows, and about how many rows there are in all: one pass.
+
+    Of every ``SAMPLES_PER_PIECE`` sampled values one in eight comes to the driver, so this is bounded by the pieces.
+    """
+    sample = df.select(*keys, *[c for c in order if c not in keys]) if rate >= 1 else df.where(F.rand(17) < rate)
+    total = Observation()
+    by_key = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list(F.struct(*order))).alias("_seen"))
+    thin = F.filter("_seen", lambda _, i: i % (SAMPLES_PER_PIECE // 8) == 0)
+    found = by_key.observe(total, F.sum("_n").alias("n")).where(F.col("_n") > least).select(*keys, "_n", thin.alias("_seen")).collect()
+    seen = [_Seen(tuple(r[k] for k in keys), round(r["_n"] / rate), r["_seen"]) for r in found]
+    return seen, round((total.get.get("n") or 0) / rate)
+
+
+def _cuts(values: list, pieces: int) -> list:
+    """Evenly spaced members of sorted values, each once."""
+    picked = [values[min(i * len(values) // pieces, len(values) - 1)] for i in range(1, pieces)]
+    return [v for v, before in zip(picked, [None, *picked]) if v != before]
 
 
 def _blocks(cuts: list) -> tuple[list, list]:
@@ -75,13 +93,13 @@ def _blocks(cuts: list) -> tuple[list, list]:
     return [b[0] for b in blocks], blocks
 
 
-def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: list) -> tuple[DataFrame, Column]:
+def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], found: list[tuple[tuple, list]]) -> tuple[DataFrame, Column]:
     """The cut points per key, and the value of a row they are compared with.
 
     That value is the leading order column alone, which is cheap to compare, unless one of its
     values fills more than a piece; then rows are told apart by all order columns.
     """
-    leading = all(len({c[0] for c in r["_cuts"]}) == len(r["_cuts"]) for r in rows)
+    leading = all(len({c[0] for c in cuts}) == len(cuts) for _, cuts in found)
     if leading:
         kind, value = df.schema[order[0]].dataType, F.col(order[0])
     else:
@@ -90,9 +108,7 @@ def _cut_table(df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: l
         [T.StructField(f"_k_{k}", df.schema[k].dataType) for k in keys]
         + [T.StructField("_firsts", T.ArrayType(kind)), T.StructField("_blocks", T.ArrayType(T.ArrayType(kind)))]
     )
-    data = [
-        (*[r[k] for k in keys], *_blocks([c[0] for c in r["_cuts"]] if leading else r["_cuts"])) for r in rows if r["_cuts"]
-    ]
+    data = [(*key, *_blocks([c[0] for c in cuts] if leading else cuts)) for key, cuts in found]
     return df.sparkSession.createDataFrame(data, schema), value
 
 
@@ -115,77 +131,113 @@ def order_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str], task_ro
     ``order`` should be unique within a key; rows that tie in it have no defined order.
     """
     keys, order = tuple(keys), tuple(order)
-    if not keys:
+    parts = shuffle_partitions(df.sparkSession)
+    if keys:
+        # A rate that does not depend on the number of rows, so that one pass both finds heavy keys and cuts them.
+        rate = min(1.0, SAMPLES_PER_PIECE / task_rows)
+        seen, rows = _sampled(df, keys, order, rate, task_rows * rate)
+        share = max(task_rows, rows // parts)
+        found = [(s.key, _cuts(s.values, math.ceil(s.rows / share))) for s in seen if s.rows > share]
+    else:
         rows = df.count()
-        parts = shuffle_partitions(df.sparkSession)
         share = max(1, min(task_rows, math.ceil(rows / parts)), math.ceil(rows / (2 * parts)))
-        cuts = _sampled_cuts(df, keys, order, share, math.ceil(rows / share)) if rows > 1 else []
-        if not any(r["_cuts"] for r in cuts):
-            return OrderedRows(df, keys, order, False)
-        table, value = _cut_table(df, keys, order, cuts)
+        seen, _ = _sampled(df, keys, order, min(1.0, SAMPLES_PER_PIECE / share), 1) if rows > share else ([], 0)
+        found = [((), _cuts(s.values, math.ceil(rows / share))) for s in seen]
+    found = [(key, cuts) for key, cuts in found if cuts]
+    if not found:
+        return OrderedRows(df, keys, order, False)
+    table, value = _cut_table(df, keys, order, found)
+    if keys:
+        placed = df.join(F.broadcast(table), same_keys(df, table, [(k, f"_k_{k}") for k in keys]), "left")
+        placed = placed.withColumn(CUT, F.col("_firsts").isNotNull()).drop(*[f"_k_{k}" for k in keys])
+    else:
         # Scalar subqueries: evaluated once, then constants for every task.
-        found = df.select("*", table.select("_firsts").scalar().alias("_firsts"), table.select("_blocks").scalar().alias("_blocks"))
-        return OrderedRows(_with_piece(found.withColumn(CUT, F.lit(True)), value), keys, order, True)
+        placed = df.select("*", table.select("_firsts").scalar().alias("_firsts"), table.select("_blocks").scalar().alias("_blocks"))
+        placed = placed.withColumn(CUT, F.col("_firsts").isNotNull())
+    return OrderedRows(_with_piece(placed, value), keys, order, True)
 
-    heavy, share = heavy_keys(df, keys, task_rows)
-    if heavy is None:
-        return OrderedRows(df, keys, order, False)
-    pieces = heavy.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.ceil(F.col("_rows") / share).cast("int").alias("_pieces")
+
+Read = Callable[[str], Column]
+Step = Callable[[Read, Read, Column], Column]
+
+
+def _both(a: Column, b: Column) -> Column:
+    """A sum that skips NULL."""
+    return F.coalesce(a + b, a, b)
+
+
+def scan(rows: OrderedRows, previous: Mapping[str, str] | None = None, totals: Mapping[str, Step] | None = None) -> OrderedRows:
+    """One ordered pass that adds columns of the row before and running totals.
+
+    ``previous`` maps columns to the names under which their value in the previous row is added (NULL in the first row
+    of a key). ``totals`` maps names to steps: the total is the sum of the steps up to and including the row, skipping
+    NULL. A step gets the previous row, the row, and whether there is no previous row, so a total may depend on pairs
+    of neighbours, also where they lie in different pieces.
+    """
+    previous, totals = previous or {}, totals or {}
+    columns = [c for c in rows.df.columns if c not in (PIECE, CUT)]
+    upto = rows.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    held = columns if totals else list(previous)
+    seen = rows.df.select(
+        "*", F.lag(F.lit(True), 1, False).over(rows.window).alias("_has"), *[F.lag(c).over(rows.window).alias(f"_b_{c}") for c in held]
     )
-    cuts = _sampled_cuts(df, keys, order, share, pieces)
-    if not any(r["_cuts"] for r in cuts):
-        return OrderedRows(df, keys, order, False)
-    table, value = _cut_table(df, keys, order, cuts)
-    found = df.join(F.broadcast(table), same_keys(df, table, [(k, f"_k_{k}") for k in keys]), "left")
-    found = found.withColumn(CUT, F.col("_firsts").isNotNull()).drop(*[f"_k_{k}" for k in keys])
-    return OrderedRows(_with_piece(found, value), keys, order, True)
-
-
-def _with_carry(rows: OrderedRows, df: DataFrame, summary: Column, carried) -> DataFrame:
-    """Join ``_carry`` to every row of a cut key: ``carried(summary, window over pieces)`` of its piece."""
-    per_piece = rows.df.where(F.col(CUT)).groupBy(*rows.groups).agg(summary.alias("_summary"))
-    pieces = Window.partitionBy(*rows.keys).orderBy(PIECE)
-    carry = per_piece.select(
-        *[F.col(g).alias(f"_c_{g}") for g in rows.groups], carried(F.col("_summary"), pieces).alias("_carry")
+    before: Read = lambda c: F.col(f"_b_{c}")
+    first = ~F.col("_has")
+    named = [F.col(f"_b_{c}").alias(name) for c, name in previous.items()]
+    if not rows.cut:
+        steps = seen.select("*", *[step(before, F.col, first).alias(f"_s_{name}") for name, step in totals.items()])
+        summed = [F.sum(f"_s_{name}").over(upto).alias(name) for name in totals]
+        return rows.over(steps.select(*columns, *named, *summed))
+
+    # The first row of a piece takes its step when the pieces are combined; elsewhere the row before is at hand.
+    own = {
+        name: F.when(F.col("_has"), step(before, F.col, F.lit(False))).when(~F.col(CUT), step(before, F.col, F.lit(True)))
+        for name, step in totals.items()
+    }
+    steps = seen.select("*", F.lead(F.lit(False), 1, True).over(rows.window).alias("_last"), *[c.alias(f"_s_{n}") for n, c in own.items()])
+    local = steps.select(
+        *columns, PIECE, CUT, "_has", "_last", *[f"_b_{c}" for c in previous], *[F.sum(f"_s_{n}").over(upto).alias(f"_t_{n}") for n in totals]
+    )
+
+    # Two rows of each piece at most: where it begins, and where it ends, which has the totals of the piece.
+    edges = local.where(F.when(F.col(CUT), first | F.col("_last")).otherwise(False))
+    ends = F.struct(*columns, *[f"_t_{n}" for n in totals])
+    pieces = edges.groupBy(*rows.groups).agg(
+        F.first(F.when(first, F.struct(*columns)), ignorenulls=True).alias("_first"), F.first(F.when(F.col("_last"), ends), ignorenulls=True).alias("_end")
+    )
+    along = Window.partitionBy(*rows.keys).orderBy(PIECE)
+    pieces = pieces.select("*", F.lag("_end").over(along).alias("_carry"))
+    crossing = {
+        name: step(lambda c: F.col("_carry")[c], lambda c: F.col("_first")[c], F.col("_carry").isNull()) for name, step in totals.items()
+    }
+    pieces = pieces.select("*", *[c.alias(f"_x_{n}") for n, c in crossing.items()])
+    sofar, earlier = along.rowsBetween(Window.unboundedPreceding, Window.currentRow), along.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = [_both(F.sum(f"_x_{n}").over(sofar), F.sum(F.col("_end")[f"_t_{n}"]).over(earlier)).alias(f"_o_{n}") for n in totals]
+    carried = pieces.select(
+        *[F.col(g).alias(f"_c_{g}") for g in rows.groups], F.struct(F.lit(True).alias("_"), *[F.col("_carry")[c].alias(c) for c in previous]).alias("_carry"),
+        *offsets,
     )
-    joined = df.join(F.broadcast(carry), same_keys(df, carry, [(g, f"_c_{g}") for g in rows.groups]), "left")
-    return joined.drop(*[f"_c_{g}" for g in rows.groups])
+
+    joined = local.join(F.broadcast(carried), same_keys(local, carried, [(g, f"_c_{g}") for g in rows.groups]), "left")
+    named = [F.when(F.col("_has"), F.col(f"_b_{c}")).when(F.col(CUT), F.col("_carry")[c]).alias(name) for c, name in previous.items()]
+    summed = [_both(F.col(f"_t_{n}"), F.col(f"_o_{n}")).cast(local.schema[f"_t_{n}"].dataType).alias(n) for n in totals]
+    return rows.over(joined.select(*columns, PIECE, CUT, *named, *summed))
 
 
 def previous_row(rows: OrderedRows, columns: Sequence[str], prefix: str = "prev_") -> OrderedRows:
     """Add each column's value in the previous row, NULL in the first row of a key."""
-    if not rows.cut:
-        return rows.over(rows.df.select("*", *[F.lag(c).over(rows.window).alias(prefix + c) for c in columns]))
-    held = F.struct(*columns)
-    df = rows.df.withColumn("_before", F.lag(held).over(rows.window))
-    last = F.max_by(held, F.struct(*rows.order))
-    df = _with_carry(rows, df, last, lambda summary, pieces: F.lag(summary).over(pieces))
-    before = F.coalesce("_before", "_carry")
-    df = df.select("*", *[before[c].alias(prefix + c) for c in columns]).drop("_before", "_carry")
-    return rows.over(df)
+    return scan(rows, {c: prefix + c for c in columns})
 
 
 def running_total(rows: OrderedRows, value: str, name: str) -> OrderedRows:
     """Add the sum of ``value`` up to and including the row, skipping NULLs."""
-    upto = rows.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = rows.df.withColumn(name, F.sum(value).over(upto))
-    if not rows.cut:
-        return rows.over(df)
-    before = lambda summary, pieces: F.sum(summary).over(pieces.rowsBetween(Window.unboundedPreceding, -1))
-    df = _with_carry(rows, df, F.sum(value), before)
-    kind = df.schema[name].dataType
-    both = F.coalesce(F.col(name) + F.col("_carry"), F.col(name), F.col("_carry")).cast(kind)
-    return rows.over(df.withColumn(name, both).drop("_carry"))
+    return scan(rows, totals={name: lambda before, here, first: here(value)})
 
 
 def number_runs(rows: OrderedRows, columns: Sequence[str], name: str = "run") -> OrderedRows:
     """Number runs of consecutive rows with equal ``columns`` (NULL equals NULL), from 1 per key."""
-    marked = rows.over(rows.df.withColumn("_here", F.lit(True)))
-    seen = previous_row(marked, [*columns, "_here"], "_p_")
-    changed = F.col("_p__here").isNull()
-    for column in columns:
-        changed = changed | ~F.col(column).eqNullSafe(F.col(f"_p_{column}"))
-    flagged = seen.df.withColumn("_start", changed.cast("long")).drop("_here", "_p__here", *[f"_p_{c}" for c in columns])
-    numbered = running_total(seen.over(flagged), "_start", name)
-    return numbered.over(numbered.df.drop("_start"))
+
+    def begins(before: Read, here: Read, first: Column) -> Column:
+        return reduce(lambda a, c: a | ~here(c).eqNullSafe(before(c)), columns, first).cast("long")
+
+    return scan(rows, totals={name: begins})
