@@ -270,6 +270,83 @@ def test_compaction_takes_untimed_rows_and_rewrites_no_day_twice(spark):
     assert compact(spark, path).days == 0 and sorted(files(path)) == kept
 
 
+def with_columns_of_their_own(spark, root):
+    """Two files with a column that three others of the day do not have, and a large one."""
+    df = temperature(spark, AT)
+    for k in range(5):
+        more = df.withColumn("extra", F.lit(k)) if k < 2 else df
+        path = writers.append_curated(more, root, "temperature")
+    return path
+
+
+def test_compaction_keeps_the_columns_of_all_files(spark):
+    for _ in range(3):
+        path = with_columns_of_their_own(spark, scratch_dir(spark, "curated"))
+        done = compact(spark, path)
+        assert (done.files_before, done.files_after) == (5, 1)
+        table = spark.read.parquet(path)
+        assert sorted(r["extra"] for r in table.where("extra is not null").collect()) == [0, 1] and table.count() == 5
+
+
+def test_compaction_refuses_types_that_disagree(spark):
+    path = with_columns_of_their_own(spark, scratch_dir(spark, "curated"))
+    writers.append_curated(temperature(spark, AT).withColumn("extra", F.lit("text")), os.path.dirname(path), "temperature")
+    before = sorted(files(path))
+    with pytest.raises(Exception, match="(?i)schema|type"):
+        compact(spark, path)
+    assert sorted(files(path)) == before
+
+
+def large_and_small(spark, root):
+    rows = spark.range(50_000).select(
+        F.concat(F.lit("d"), F.col("id")).alias("device_id"), F.lit(AT).cast("timestamp_ntz").alias("timestamp"), F.rand(1).alias("value_celsius")
+    )
+    path = writers.append_curated(rows.coalesce(1), root, "temperature")
+    large = files(path)
+    for k in range(4):
+        writers.append_curated(rows.limit(3 + k), root, "temperature")
+    return path, large, max(os.path.getsize(f) for f in large)
+
+
+def test_compaction_leaves_large_files_alone(spark):
+    path, large, size = large_and_small(spark, scratch_dir(spark, "curated"))
+    when = os.path.getmtime(large[0])
+    done = compact(spark, path, target_mb=size / 2**20)
+    assert (done.files_before, done.files_after, done.bytes_before < size) == (4, 1, True)
+    assert large[0] in files(path) and len(files(path)) == 2 and os.path.getmtime(large[0]) == when
+    assert spark.read.parquet(path).count() == 50_018
+    assert compact(spark, path, target_mb=size / 2**20).days == 0
+
+
+@pytest.mark.parametrize("died", [True, False])
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_large_files_survive_a_compaction_that_fails(spark, monkeypatch, moves, died):
+    path, large, size = large_and_small(spark, scratch_dir(spark, "curated"))
+    real_move, calls = maintenance.Folders.move, []
+
+    class Failed(BaseException if died else Exception):
+        pass
+
+    def failing_move(self, source, target):
+        calls.append(source)
+        if len(calls) == moves + 1:
+            raise Failed
+        real_move(self, source, target)
+
+    monkeypatch.setattr(maintenance.Folders, "move", failing_move)
+    with pytest.raises(Failed):
+        compact(spark, path, target_mb=size / 2**20)
+    monkeypatch.undo()
+    recover(spark, path)
+    assert spark.read.parquet(path).count() == 50_018 and large[0] in files(path) and not glob.glob(f"{path}/_*-*")
+
+
+def test_compaction_lists_files_in_spark(spark, monkeypatch):
+    path = several(spark, scratch_dir(spark, "curated"))
+    monkeypatch.setattr(maintenance.Folders, "size", lambda *_: pytest.fail("a call for each file"))
+    assert compact(spark, path).files_before == 6
+
+
 def test_newest_batch_stays_apart(spark):
     path = f"{scratch_dir(spark, 'curated')}/temperature"
     for number in range(3):

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import math
-import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattloom.functions.hashing import row_hash
 from wattloom.functions.timestamps import DAY_COLUMN, moment
@@ -20,10 +19,15 @@ from wattloom.sinks.writers import BATCH_COLUMN, COMMIT_COLUMN, WRITE_COLUMN
 
 # What Spark names the folder of rows without a value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Files below this share of the target size are small.
+SMALL_SHARE = 0.5
+KEPT = "_kept"
 
 
 @dataclass(frozen=True)
 class Compaction:
+    """Days that changed, and the files that were rewritten."""
+
     days: int
     bytes_before: int
     files_before: int
@@ -40,15 +44,46 @@ def content(df: DataFrame, columns: Sequence[str]) -> tuple:
     return row["n"], row["h"]
 
 
-def _day(folder: str) -> str | None:
-    value = folder.removeprefix(f"{DAY_COLUMN}=")
-    return None if value == NO_VALUE else value
+def file_list(spark: SparkSession, path: str) -> DataFrame:
+    """The data files of a day-partitioned table, as rows: day and write (folders), unit (path inside the day), length, modified.
+
+    Listed by Spark; nothing is read from the files, and no name passes through Python.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    inside = F.regexp_extract("path", rf"/({DAY_COLUMN}=[^/]*)/(.*)$", 2)
+    return found.select(
+        F.regexp_extract("path", rf"/({DAY_COLUMN}=[^/]*)/", 1).alias("day"),
+        F.when(inside.startswith(f"{WRITE_COLUMN}="), F.substring_index(inside, "/", 1)).alias("write"),
+        inside.alias("unit"),
+        "length",
+        F.col("modificationTime").alias("modified"),
+    )
+
+
+def _batch(name: Column) -> Column:
+    """The batch that a folder of a day was written by; NULL for merged ones."""
+    return F.regexp_extract(name, r"b(\d+)$", 1).try_cast("bigint")
+
+
+def _settled(name: Column, before: int) -> Column:
+    return F.coalesce(_batch(name) < before, F.lit(True))
 
 
-def _batch(folder: str) -> int | None:
-    """The batch that a folder of a day was written by; None for merged ones."""
-    found = re.fullmatch(rf"{WRITE_COLUMN}=b(\d+)", folder)
-    return int(found[1]) if found else None
+def _kept(spark: SparkSession, aside: str) -> dict[str, list[str]]:
+    """By day: files and folders of it that a compaction does not rewrite. As many as large files and open batches."""
+    found: dict[str, list[str]] = {}
+    for r in spark.read.schema("day string, unit string").parquet(f"{aside}/{KEPT}").collect():
+        found.setdefault(r["day"], []).append(r["unit"])
+    return found
+
+
+def _swap_in(folders: Folders, path: str, aside: str, replaced: str, day: str, kept: Sequence[str]) -> None:
+    """Put a day's new folder, completed by what the old one keeps, in the place that the old one has left."""
+    folders.make(f"{aside}/{day}")
+    for unit in kept:
+        if folders.exists(f"{replaced}/{day}/{unit}"):
+            folders.move(f"{replaced}/{day}/{unit}", f"{aside}/{day}/{unit}")
+    folders.move(f"{aside}/{day}", f"{path}/{day}")
 
 
 def recover(spark: SparkSession, path: str) -> None:
@@ -61,10 +96,14 @@ def recover(spark: SparkSession, path: str) -> None:
     left = folders.names(path)
     for replaced in (n for n in left if n.startswith("_replaced-")):
         aside = replaced.replace("_replaced-", "_compacted-")
+        kept = None
         for day in folders.names(f"{path}/{replaced}"):
             if not folders.exists(f"{path}/{day}"):
-                new = f"{path}/{aside}/{day}"
-                folders.move(new if folders.exists(new) else f"{path}/{replaced}/{day}", f"{path}/{day}")
+                if folders.exists(f"{path}/{aside}/{day}"):
+                    kept = _kept(spark, f"{path}/{aside}") if kept is None else kept
+                    _swap_in(folders, path, f"{path}/{aside}", f"{path}/{replaced}", day, kept.get(day, ()))
+                else:
+                    folders.move(f"{path}/{replaced}/{day}", f"{path}/{day}")
         folders.drop(f"{path}/{replaced}")
     for aside in (n for n in left if n.startswith("_compacted-")):
         folders.drop(f"{path}/{aside}")
@@ -80,63 +119,77 @@ def compact(
 ) -> Compaction:
     """Rewrite the small files of day partitions into files of about ``target_mb``; rows do not change.
 
-    Only days with more files than their size asks for are rewritten, rows without a time among them. Rows are
-    range-partitioned by day and then by ``cluster_by``, so a large day is spread over as many tasks as its size asks for
-    and file statistics are tight. Files of a stream's batches are merged where the batch is before ``before_batch``; a
-    batch that may still be replayed stays apart, and unless told otherwise that is the newest one.
+    The files are listed by one job. Small ones (below half the target) of each day are put in bins of the target size,
+    in the order they came, and only they are read: each bin becomes one file, sorted by ``cluster_by``. Days whose small
+    files are no more than their bins are left alone; large files stay as they are. Rows without a time are a day. Files
+    of a stream's batches are merged where the batch is before ``before_batch``; a batch that may still be replayed stays
+    apart, and unless told otherwise that is the newest one.
 
-    The copy is written beside the table, compared with the original, and only then moved into place day by day. If a
-    move fails all is moved back; if the job dies the next compaction, or ``recover``, completes or undoes each day. Run
-    it while no job appends.
+    Files may differ in their columns: the copy has the columns of all of them, and files whose types disagree are an error.
+    It is written beside the table, compared with the original, and only then moved into place day by day. If a move
+    fails all is moved back; if the job dies the next compaction, or ``recover``, completes or undoes each day. Run it
+    while no job appends; a reader that lists a day while it is swapped finds none of its files.
     """
     path = path.rstrip("/")
     folders = Folders(spark, path)
     recover(spark, path)
-    prefix = f"{DAY_COLUMN}="
-    first = str(since) if since is not None else ""
-    days = sorted(d for d in folders.names(path) if d.startswith(prefix) and (_day(d) is None or _day(d) >= first))
-    inside = {d: folders.names(f"{path}/{d}") for d in days}
-    numbers = [n for names in inside.values() for n in map(_batch, names) if n is not None]
-    before = before_batch if before_batch is not None else max(numbers, default=0)
-
-    def settled(day: str) -> tuple[int, int]:
-        """Bytes and files of a day that may be merged."""
-        parts = [n for n in inside[day] if n.startswith(f"{WRITE_COLUMN}=")]
-        kept = [n for n in parts if _batch(n) is None or _batch(n) < before]
-        sizes = [folders.size(f"{path}/{day}/{n}") for n in kept] if parts else [folders.size(f"{path}/{day}")]
-        return sum(s for s, _ in sizes), sum(f for _, f in sizes)
-
-    target = target_mb * 1024 * 1024
-    found = {d: settled(d) for d in days}
-    days = [d for d in days if found[d][1] > max(1, math.ceil(found[d][0] / target))]
-    if not days:
+    listed = file_list(spark, path)
+    if since is not None:
+        listed = listed.where((F.col("day") >= f"{DAY_COLUMN}={since}") | (F.col("day") == f"{DAY_COLUMN}={NO_VALUE}"))
+    if before_batch is None:
+        before_batch = listed.agg(F.max(_batch(F.col("write")))).first()[0] or 0
+    target = max(1, int(target_mb * 1024 * 1024))
+    small = F.col("length") < SMALL_SHARE * target
+    arrived = Window.partitionBy("day").orderBy("modified", "unit").rowsBetween(Window.unboundedPreceding, -1)
+    chosen = listed.where(small & _settled(F.col("write"), before_batch))
+    binned = chosen.withColumn("bin", F.floor(F.coalesce(F.sum("length").over(arrived), F.lit(0)) / target).cast("int"))
+    per_day = binned.groupBy("day").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("bin").alias("last"), F.count_distinct("bin").alias("bins")
+    )
+    plan = sorted(per_day.where("files > bins").collect())  # a row for each day
+    if not plan:
         return Compaction(0, 0, 0, 0)
-    size, files = (sum(part) for part in zip(*[folders.size(f"{path}/{d}") for d in days]))
-
-    table = spark.read.parquet(path)
-    dated = [_day(d) for d in days if _day(d) is not None]
-    chosen = F.col(DAY_COLUMN).isin([date.fromisoformat(d) for d in dated]) if dated else F.lit(False)
-    selected = table.where(chosen | F.col(DAY_COLUMN).isNull() if len(dated) < len(days) else chosen)
-    partitions = [c for c in (DAY_COLUMN, WRITE_COLUMN) if c in table.columns]
-    rows = selected
+    days = [r["day"] for r in plan]
+    offsets, pieces = [], 0
+    for r in plan:
+        offsets.append((r["day"], pieces))
+        pieces += r["last"] + 1
+
+    # The columns of all files of these days, whatever each of them has.
+    reader = spark.read.option("basePath", path)
+    inside = [f"{path}/{d}" for d in days]
+    found = reader.option("mergeSchema", "true").parquet(*inside)
+    partitions = [c for c in (DAY_COLUMN, WRITE_COLUMN) if c in found.columns]
+    kinds = {DAY_COLUMN: T.DateType(), WRITE_COLUMN: T.StringType()}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.schema])
+    at = F.col("_metadata.file_path")
+    selected = reader.schema(schema).parquet(*inside).where(F.col("_metadata.file_size") < SMALL_SHARE * target)
     if WRITE_COLUMN in partitions:
-        merged = F.when(F.col(BATCH_COLUMN) < before, F.lit("merged")).otherwise(F.col(WRITE_COLUMN))
-        rows = rows.withColumn(WRITE_COLUMN, merged)
-    order = [*partitions, *[c for c in cluster_by if c in table.columns]]
-    pieces = max(1, math.ceil(size / target))
+        selected = selected.where(_settled(F.col(WRITE_COLUMN), before_batch))
+
+    placed = binned.join(F.broadcast(spark.createDataFrame(offsets, "day string, offset int")), "day")
+    placed = placed.select(F.concat_ws("/", "day", "unit").alias("_file"), (F.col("offset") + F.col("bin")).alias("_bin"))
+    rows = selected.withColumn("_file", F.regexp_extract(at, rf"/({DAY_COLUMN}=.*)$", 1)).join(placed, "_file").drop("_file")
+    if WRITE_COLUMN in partitions:
+        rows = rows.withColumn(WRITE_COLUMN, F.lit("merged"))
     token = uuid.uuid4().hex[:12]
     aside, replaced = f"{path}/_compacted-{token}", f"{path}/_replaced-{token}"
-    (
-        rows.repartitionByRange(pieces, *order)
-        .sortWithinPartitions(*order)
-        .write.option("compression", "zstd")
-        .partitionBy(*partitions)
-        .parquet(aside)
-    )
-    columns = [c for c in table.columns if c != WRITE_COLUMN]
-    if content(selected, columns) != content(spark.read.schema(table.schema).parquet(aside), columns):
+    order = [*partitions, *[c for c in cluster_by if c in schema.names]]
+    sorted_bins = rows.repartitionById(pieces, F.col("_bin")).drop("_bin").sortWithinPartitions(*order)
+    sorted_bins.write.option("compression", "zstd").partitionBy(*partitions).parquet(aside)
+
+    columns = [c for c in schema.names if c != WRITE_COLUMN]
+    if content(selected, columns) != content(spark.read.schema(schema).parquet(aside), columns):
         folders.drop(aside)
         raise CompactionError(f"compacted copy of {path} differs from the original")
+    after = file_list(spark, aside).count()
+    # Batches that stay apart move as folders, large files one by one.
+    staying = listed.where(F.col("day").isin(days)).withColumn("_rewritten", small & _settled(F.col("write"), before_batch))
+    whole = staying.where(F.col("write").isNotNull()).groupBy("day", "write").agg(F.bool_or("_rewritten").alias("_part"))
+    apart = whole.where("not _part").select("day", F.col("write").alias("unit"))
+    single = staying.where("not _rewritten").join(apart.withColumnRenamed("unit", "write"), ["day", "write"], "left_anti").select("day", "unit")
+    apart.unionAll(single).coalesce(1).write.parquet(f"{aside}/{KEPT}")
+    kept = _kept(spark, aside)
 
     folders.make(replaced)
     moved: list[str] = []
@@ -144,20 +197,23 @@ def compact(
         for day in days:
             folders.move(f"{path}/{day}", f"{replaced}/{day}")
             moved.append(day)
-            folders.move(f"{aside}/{day}", f"{path}/{day}")
+            _swap_in(folders, path, aside, replaced, day, kept.get(day, ()))
     except Exception:
         for day in moved:
+            new = f"{path}/{day}" if folders.exists(f"{path}/{day}") else f"{aside}/{day}"
+            for unit in kept.get(day, ()):
+                if not folders.exists(f"{replaced}/{day}/{unit}"):
+                    folders.move(f"{new}/{unit}", f"{replaced}/{day}/{unit}")
             if folders.exists(f"{path}/{day}"):
                 folders.drop(f"{path}/{day}")
             folders.move(f"{replaced}/{day}", f"{path}/{day}")
         folders.drop(replaced)
         folders.drop(aside)
         raise
-    after = sum(folders.size(f"{path}/{d}")[1] for d in days)
     folders.drop(replaced)
     folders.drop(aside)
     spark.catalog.refreshByPath(path)
-    return Compaction(len(days), size, files, after)
+    return Compaction(len(days), sum(r["bytes"] for r in plan), sum(r["files"] for r in plan), after)
 
 
 def read_as_of(
