@@ -5,6 +5,7 @@ import os
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.contracts import table_schema
 from wattloom.functions.timestamps import to_epoch_ms
@@ -117,20 +118,61 @@ def test_archived_files_are_not_listed_again(spark):
     assert run_ingest(spark, root, done_with=f"{root}/done").count() == 2
 
 
-def test_late_row_is_counted_and_only_its_day_rewritten(spark):
-    root = scratch_dir(spark, "trend")
+def test_late_row_is_counted_and_a_trigger_touches_only_its_own_parts(spark):
+    root, live = scratch_dir(spark, "trend"), windows.temperature_per_minute()
 
     def catch_up():
         rows = ingest.landing_stream(spark, f"{root}/landing", "temperature")
-        windows.keep_current(rows, "temperature", windows.temperature_per_minute, "ts", f"{root}/out", f"{root}/checkpoint").awaitTermination()
-        return {r["ts"]: r["n"] for r in windows.read_current(spark, f"{root}/out").collect()}
+        windows.keep_current(rows, "temperature", live, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+        return {r["ts"]: r["n"] for r in windows.read_current(spark, f"{root}/out", live).collect()}
 
     land(temperature(spark, 0, 59, 60, 7200, 90_000), root, "temperature")
     assert catch_up() == {T0: 2, T0 + timedelta(minutes=1): 1, T0 + timedelta(hours=2): 1, T0 + timedelta(hours=25): 1}
-    kept = glob.glob(f"{root}/out/timestamp_day=2024-01-02/*.parquet")
+    kept = {f: os.path.getmtime(f) for f in glob.glob(f"{root}/out/**/*.parquet", recursive=True)}
     land(temperature(spark, 30), root, "temperature")
     assert catch_up()[T0] == 3
-    assert glob.glob(f"{root}/out/timestamp_day=2024-01-02/*.parquet") == kept != []
+    now = glob.glob(f"{root}/out/**/*.parquet", recursive=True)
+    assert kept.items() <= {f: os.path.getmtime(f) for f in now}.items()
+    # The new parts are one bucket of one day, and no rows are kept beside them.
+    assert len(now) == len(kept) + 1 and sorted(os.listdir(root)) == ["checkpoint", "landing", "out"]
+
+
+def test_trigger_does_not_read_the_parts(spark):
+    path, live = f"{scratch_dir(spark, 'parts')}/out", windows.session_events_hourly()
+    batch = spark.createDataFrame([(T0, "FAULT", "ERROR")], "timestamp timestamp_ntz, event_type string, severity string")
+    write = windows.bucket_writer(path, live)
+    write(batch, 0)
+    for file in glob.glob(f"{path}/**/*.parquet", recursive=True):
+        with open(file, "w") as broken:  # reading it would fail
+            broken.write("x")
+    write(batch, 1)
+    assert spark.read.parquet(f"{path}/timestamp_day=2024-01-01/_write_id=b1").first()["_rows"] == 1
+
+
+def test_parts_are_replayed_and_folded(spark):
+    path, live = f"{scratch_dir(spark, 'parts')}/out", windows.temperature_per_minute(scale=3)
+    write = windows.bucket_writer(path, live)
+    untimed = temperature(spark, 0, value=7.0).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    batches = [temperature(spark, 0, 10, 70), temperature(spark, 20, 86_400, value=2.5).unionAll(untimed), temperature(spark, 30, value=-1.0), temperature(spark, 40)]
+    for number, batch in enumerate(batches):
+        write(batch, number)
+    write(batches[1], 1)  # again
+    write(spark.createDataFrame([], batches[0].schema), 4)
+
+    def current():
+        return sorted((tuple(r) for r in windows.read_current(spark, path, live).collect()), key=str)
+
+    before = current()
+    assert before == sorted(
+        [(T0, 0.9, 2.5, 5), (T0 + timedelta(minutes=1), 1.0, 1.0, 1), (T0 + timedelta(days=1), 2.5, 2.5, 1), (None, 7.0, 7.0, 1)], key=str
+    )
+    done = windows.fold(spark, path, live)
+    assert (done.days, done.files_before, done.files_after) == (1, 3, 1) and current() == before
+    # Parts of a bucket are one row now, and the newest batch may still be replayed.
+    merged = windows.read_parts(spark, path).where("timestamp_day = date'2024-01-01'")
+    assert sorted((r["_write_id"], r["_rows"]) for r in merged.collect()) == [("b3", 1), ("merged", 1), ("merged", 4)]
+    write(batches[3], 3)
+    assert current() == before
 
 
 PARTS = [[None, 0.5, 1.2], [0.0, 3.0], [None], [2.0, 2.5]]

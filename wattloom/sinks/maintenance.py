@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -116,6 +116,7 @@ def compact(
     target_mb: float = 512,
     before_batch: int | None = None,
     cluster_by: Sequence[str] = ("device_id", "timestamp"),
+    combine: Callable[..., DataFrame] | None = None,
 ) -> Compaction:
     """Rewrite the small files of day partitions into files of about ``target_mb``; rows do not change.
 
@@ -126,8 +127,9 @@ def compact(
     apart, and unless told otherwise that is the newest one.
 
     Files may differ in their columns: the copy has the columns of all of them, and files whose types disagree are an error.
-    It is written beside the table, compared with the original, and only then moved into place day by day. If a move
-    fails all is moved back; if the job dies the next compaction, or ``recover``, completes or undoes each day. Run it
+    It is written beside the table, compared with the original, and only then moved into place day by day.
+    With ``combine`` the rows of a bin are merged by that function of (rows, columns to keep apart), which must give the same
+    in any order. If a move fails all is moved back; if the job dies the next compaction, or ``recover``, completes or undoes each day. Run it
     while no job appends; a reader that lists a day while it is swapped finds none of its files.
     """
     path = path.rstrip("/")
@@ -174,19 +176,22 @@ def compact(
         rows = rows.withColumn(WRITE_COLUMN, F.lit("merged"))
     token = uuid.uuid4().hex[:12]
     aside, replaced = f"{path}/_compacted-{token}", f"{path}/_replaced-{token}"
+    if combine is not None:
+        rows = combine(rows, *partitions, "_bin")
     order = [*partitions, *[c for c in cluster_by if c in schema.names]]
     sorted_bins = rows.repartitionById(pieces, F.col("_bin")).drop("_bin").sortWithinPartitions(*order)
     sorted_bins.write.option("compression", "zstd").partitionBy(*partitions).parquet(aside)
 
     columns = [c for c in schema.names if c != WRITE_COLUMN]
-    if content(selected, columns) != content(spark.read.schema(schema).parquet(aside), columns):
+    whole = (lambda df: df) if combine is None else (lambda df: combine(df, DAY_COLUMN))
+    if content(whole(selected), columns) != content(whole(spark.read.schema(schema).parquet(aside)), columns):
         folders.drop(aside)
         raise CompactionError(f"compacted copy of {path} differs from the original")
     after = file_list(spark, aside).count()
     # Batches that stay apart move as folders, large files one by one.
     staying = listed.where(F.col("day").isin(days)).withColumn("_rewritten", small & _settled(F.col("write"), before_batch))
-    whole = staying.where(F.col("write").isNotNull()).groupBy("day", "write").agg(F.bool_or("_rewritten").alias("_part"))
-    apart = whole.where("not _part").select("day", F.col("write").alias("unit"))
+    folders_of = staying.where(F.col("write").isNotNull()).groupBy("day", "write").agg(F.bool_or("_rewritten").alias("_part"))
+    apart = folders_of.where("not _part").select("day", F.col("write").alias("unit"))
     single = staying.where("not _rewritten").join(apart.withColumnRenamed("unit", "write"), ["day", "write"], "left_anti").select("day", "unit")
     apart.unionAll(single).coalesce(1).write.parquet(f"{aside}/{KEPT}")
     kept = _kept(spark, aside)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -95,26 +94,27 @@ def _(s):
     ("temperature",),
 )
 def _(s):
-    root = s.scratch("trend")
+    root, live = s.scratch("trend"), windows.temperature_per_minute(scale=4)
 
     def start() -> StreamingQuery:
         rows = ingest.landing_stream(s.spark, f"{root}/landing", "temperature")
-        return windows.keep_current(rows, "temperature", partial(windows.temperature_per_minute, scale=4), "ts", f"{root}/out", f"{root}/checkpoint")
+        return windows.keep_current(rows, "temperature", live, f"{root}/out", f"{root}/checkpoint")
 
     catch_up(s, "temperature", f"{root}/landing", start, late=True)
-    return windows.read_current(s.spark, f"{root}/out")
+    windows.fold(s.spark, f"{root}/out", live)
+    return windows.read_current(s.spark, f"{root}/out", live)
 
 
 @query("stream_session_events_hourly", HOURLY.format(where=""), ("evse_session_event",))
 def _(s):
-    root = s.scratch("hourly")
+    root, live = s.scratch("hourly"), windows.session_events_hourly()
 
     def start() -> StreamingQuery:
         rows = ingest.landing_stream(s.spark, f"{root}/landing", "evse_session_event")
-        return windows.keep_current(rows, "evse_session_event", windows.session_events_hourly, "hour", f"{root}/out", f"{root}/checkpoint")
+        return windows.keep_current(rows, "evse_session_event", live, f"{root}/out", f"{root}/checkpoint")
 
     catch_up(s, "evse_session_event", f"{root}/landing", start, late=True)
-    return windows.read_current(s.spark, f"{root}/out")
+    return windows.read_current(s.spark, f"{root}/out", live)
 
 
 @query("stream_derate_onset", ONSETS.format(ts=MS), ("evse_state",))
