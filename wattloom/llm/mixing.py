@@ -228,5 +228,7 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], le
     def rate(text: pd.Series) -> pd.Series:
         return pd.Series(rates.of(model.posteriors(text)[0]))
 
+    # Marked as not deterministic, or the filter would evaluate it a second time, with a Python worker of its own.
+    rate = rate.asNondeterministic()
     again = docs.withColumn("__llm_copies", copies(rate(text_of().cast("binary")))).where("__llm_copies > 0")
     return again.withColumn("__llm_copy", F.explode(F.sequence(F.lit(1), F.col("__llm_copies")))).select(*[again[c] for c in docs.columns])
