@@ -13,10 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.session import scratch_dir
+from wattloom.session import scratch_dir, settings
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,9 +29,13 @@ def text_of(column: str = "text") -> Column:
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: the plan behind them is run once and survives lost executors."""
+    """The rows as a Parquet table in the shared folder: the plan behind them is run once and survives lost executors.
+
+    Python steps on the way get a few megabytes of text at a time, which both sides of the pipe hold several times over.
+    """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    with settings(df.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -30,9 +30,9 @@ from wattloom.llm.common import text_of
 
 END_ID = 2
 # Bytes kept by a worker: ids of plain words, and of all else.
-CACHED = {"words": 64 << 20, "others": 4 << 20}
+CACHED = {"words": 32 << 20, "others": 4 << 20}
 # What an entry takes besides its key and value, about; text that is split at once.
-_ENTRY, _STRETCH = 150, 24 << 20
+_ENTRY, _STRETCH = 150, 8 << 20
 # Latin letters whose lower case is one letter, then ASCII signs that are no letter, digit, apostrophe or control.
 _PLAIN = "^(?P<word>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)(?P<rest>[!-&(-/:-@\\[-`{-~]*)$"
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
