@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 from wattloom.contracts import STREAMS
 from wattloom.plans.models import MODELS, Model, Source, model_ref
+from wattloom.sources.landed import read_indexed
 from wattloom.sources.raw import read_raw
 
 
@@ -30,11 +31,15 @@ def register_views(
     return names
 
 
-def register_raw_views(spark: SparkSession, root: str, streams: Iterable[str] = STREAMS) -> list[str]:
-    """Name the landed files of every stream ``raw_<stream>``, for SQL over what has landed."""
+def register_raw_views(spark: SparkSession, root: str, streams: Iterable[str] = STREAMS, index: str | None = None) -> list[str]:
+    """Name the landed files of every stream ``raw_<stream>``, for SQL over what has landed.
+
+    With an ``index`` only the footers of files that landed since the last time are opened.
+    """
     names = []
     for stream in streams:
-        read_raw(spark, root, stream).createOrReplaceTempView(f"raw_{stream}")
+        rows = read_indexed(spark, root, stream, index) if index else read_raw(spark, root, stream)
+        rows.createOrReplaceTempView(f"raw_{stream}")
         names.append(f"raw_{stream}")
     return names
 

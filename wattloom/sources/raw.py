@@ -19,6 +19,8 @@ from wattloom.functions.timestamps import from_epoch_ms, moment
 from wattloom.session import shuffle_partitions
 
 LAYOUT = ("year", "month", "day", "hour")
+
+
 def landing_schema(stream: str) -> T.StructType:
     """File columns plus the partition columns, so that nothing is inferred."""
     return T.StructType(raw_schema(stream).fields + [T.StructField(c, T.IntegerType(), True) for c in LAYOUT])
@@ -29,7 +31,7 @@ def _utc(value: datetime | str) -> datetime:
     return at.replace(tzinfo=timezone.utc) if at.tzinfo is None else at.astimezone(timezone.utc)
 
 
-def _epoch_ms(value: datetime | str) -> int:
+def epoch_ms(value: datetime | str) -> int:
     return (_utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(milliseconds=1)
 
 
@@ -110,12 +112,14 @@ def _typed(spark: SparkSession, paths: list[str], stream: str, schema: T.StructT
     groups: dict[tuple[str, ...], list[str]] = {}
     for file in files:
         groups.setdefault(lost.get(file, ()), []).append(unquote(file))
-    parts = []
-    for columns, own in sorted(groups.items()):
-        kept = T.StructType([f for f in schema if f.name not in columns])
-        part = spark.read.schema(kept).options(**options).parquet(*own)
-        parts.append(part.select(*[(F.lit(None).cast(f.dataType) if f.name in columns else F.col(f.name)).alias(f.name) for f in schema]))
-    return reduce(DataFrame.unionAll, parts)
+    return reduce(DataFrame.unionAll, [typed_part(spark, own, schema, columns, options) for columns, own in sorted(groups.items())])
+
+
+def typed_part(spark: SparkSession, paths: list[str], schema: T.StructType, lost: tuple[str, ...], options: dict[str, str]) -> DataFrame:
+    """Files that have all lost the type of the same columns, which are NULL throughout and are not read."""
+    kept = T.StructType([f for f in schema if f.name not in lost])
+    part = spark.read.schema(kept).options(**options).parquet(*paths)
+    return part.select(*[(F.lit(None).cast(f.dataType) if f.name in lost else F.col(f.name)).alias(f.name) for f in schema])
 
 
 def read_raw(
@@ -149,11 +153,11 @@ def read_raw(
     folder_hour = F.make_timestamp_ntz(*[F.col(c) for c in LAYOUT], F.lit(0), F.lit(0).cast("decimal(16,6)"))
     if start is not None:
         df = df.where(folder_hour >= F.date_trunc("hour", moment(start)).cast("timestamp_ntz"))
-        df = df.where(F.col("timestamp") >= _epoch_ms(start))
+        df = df.where(F.col("timestamp") >= epoch_ms(start))
     if end is not None:
         if horizon is not None:
             df = df.where(folder_hour <= F.date_trunc("hour", moment(end) + F.lit(horizon)).cast("timestamp_ntz"))
-        df = df.where(F.col("timestamp") < _epoch_ms(end))
+        df = df.where(F.col("timestamp") < epoch_ms(end))
     return df
 
 

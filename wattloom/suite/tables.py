@@ -16,7 +16,8 @@ from wattloom.plans.models import MODELS, materialize, run_models
 from wattloom.sinks import catalog, writers
 from wattloom.sinks.maintenance import compact, read_as_of
 from wattloom.sinks.publish import at_least_rows, publish
-from wattloom.sources.raw import conform, read_raw
+from wattloom.sources.landed import read_indexed, refresh
+from wattloom.sources.raw import LAYOUT, conform, read_raw
 from wattloom.sources.tables import read_curated, read_device_metadata
 from wattloom.suite.aggregates import COUNTS, MART
 from wattloom.suite.models import ELECTRICAL, TEMPERATURE, columns
@@ -70,6 +71,80 @@ def _(s):
     )
 
 
+def land_untyped(rows, root: str, stream: str) -> None:
+    """Land rows by a producer whose NULL columns carry no type: tasks write a file per folder they hold rows of."""
+
+    def write(batches):
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.compute
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        for batch in batches:
+            for folder in pa.compute.unique(batch["folder"]).to_pylist():
+                some = pa.table(batch).filter(pa.compute.equal(batch["folder"], folder)).drop_columns(["folder"])
+                for place, name in enumerate(some.column_names):
+                    if some[name].null_count == some.num_rows:
+                        some = some.set_column(place, name, pa.nulls(some.num_rows))
+                system, base = fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
+                system.create_dir(base, recursive=True)
+                pq.write_table(some, f"{base}/{uuid.uuid4().hex}.parquet", filesystem=system)
+                yield pa.RecordBatch.from_pydict({"files": pa.array([1])})
+
+    folders = F.concat(F.lit(f"{root}/{stream}/"), F.date_format("timestamp", "'year='y/'month='M/'day='d/'hour='H"))
+    landed_rows = rows.withColumn("folder", folders).withColumn("timestamp", to_epoch_ms("timestamp"))
+    landed_rows.repartition("folder").mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
+def land_unevenly(s, root: str, index: str) -> None:
+    """A stream from three producers: one flushes an hour late, the clock of one is an hour ahead, and one, whose files lack
+    the type of a column that is NULL throughout, is on time. The index has seen the first one's files before the others land."""
+    typed = s("temperature").where("unit is not null")
+    for number, shift in enumerate((1, -1)):
+        some = typed.where(f"pmod(xxhash64(device_id), 2) = {number}")
+        some = some.withColumn("_hour", F.col("timestamp") + F.expr(f"interval '{shift}' hour"))
+        some = some.withColumns({c: F.expr(f"{c}(_hour)") for c in LAYOUT}).drop("_hour")
+        some = some.withColumn("timestamp", to_epoch_ms("timestamp")).repartition("year", "month", "day")
+        some.write.mode("append").partitionBy(*LAYOUT).parquet(f"{root}/temperature")
+        if number == 0:
+            refresh(s.spark, root, "temperature", index)
+    land_untyped(s("temperature").where("unit is null"), root, "temperature")
+
+
+@query(
+    "scan_raw_indexed",
+    f"""select {at_ms("temperature")} from temperature
+ where {MS} >= timestamp '2024-01-10 06:00:00' and {MS} < timestamp '2024-01-17 18:30:00'""",
+    ("temperature",),
+)
+def _(s):
+    root, index = s.scratch("landing"), s.scratch("index")
+    land_unevenly(s, root, index)
+    rows = read_indexed(s.spark, root, "temperature", index, start="2024-01-10 06:00:00", end="2024-01-17 18:30:00")
+    return conform(rows, "temperature")
+
+
+@query(
+    "raw_index",
+    """select cast(extract(hour from timestamp) as integer) as hour, count(*) as rows, min(epoch_us(timestamp) // 1000) as least,
+ max(epoch_us(timestamp) // 1000) as greatest, 'unit' as lost from temperature where unit is null group by 1
+ union all select cast(extract(hour from timestamp) as integer), count(*), min(epoch_us(timestamp) // 1000), max(epoch_us(timestamp) // 1000), ''
+ from temperature where unit is not null group by 1""",
+    ("temperature",),
+)
+def _(s):
+    # From the index alone; the typed files are those of the rows' own hours.
+    root, index = s.scratch("landing"), s.scratch("index")
+    writers.write_raw(s("temperature").where("unit is not null"), root, "temperature")
+    land_untyped(s("temperature").where("unit is null"), root, "temperature")
+    hour = F.regexp_extract("path", "/hour=([0-9]+)/", 1).cast("int").alias("hour")
+    lost = F.when(F.array_contains(F.split("lost", ","), "unit"), "unit").otherwise("").alias("lost")
+    found = refresh(s.spark, root, "temperature", index).groupBy(hour, lost)
+    return found.agg(F.sum("rows").alias("rows"), F.min("least").alias("least"), F.max("greatest").alias("greatest"))
+
+
 @query("raw_to_curated_types", f"select {at_ms('evse_session_event')} from evse_session_event", ("evse_session_event",))
 def _(s):
     raw = s("evse_session_event").withColumn("timestamp", to_epoch_ms("timestamp"))
