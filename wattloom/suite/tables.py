@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wattloom.contracts import STREAMS
 from wattloom.functions.timestamps import to_epoch_ms
+from wattloom.operators import digests
 from wattloom.operators.aggregates import power_daily, rows_per_stream
 from wattloom.operators.staging import stage_electrical
 from wattloom.plans.models import MODELS, materialize, run_models
@@ -280,6 +281,33 @@ def _(s):
     return s.spark.read.parquet(path).select(*rows.columns, "timestamp_day", "corrected")
 
 
+def two_sides(s):
+    """A stream as two curated tables with stored digests: the second lacks rows of odd days and has corrected others."""
+    root, rows, names = s.scratch("sides"), s("temperature"), columns("temperature")
+    odd = F.dayofmonth("timestamp") % 2 == 1
+    changed = rows.where(F.col("unit").isNotNull() | ~odd | F.col("timestamp").isNull()).withColumn(
+        "accuracy_pct", F.when((F.col("accuracy_pct") == 0.07) & (F.hour("timestamp") < 12), 9.5).otherwise(F.col("accuracy_pct"))
+    )
+    sides, stored = [], []
+    for name, side in (("first", rows), ("second", changed)):
+        writers.append_curated(side, f"{root}/{name}", "temperature")
+        sides.append(read_curated(s.spark, "temperature", f"{root}/{name}"))
+        stored.append(digests.read_digests(s.spark, digests.write_digests(sides[-1], f"{root}/digests-{name}", names)))
+    return *sides, *stored, names
+
+
+@query(
+    "reconcile_tree",
+    """select cast(timestamp as date) as day, cast(hour(timestamp) as integer) as hour, device_id,
+ count(*) as only_left, count(*) filter (not gone) as only_right
+from (select *, unit is null and day(timestamp) % 2 = 1 as gone from temperature)
+where gone or (accuracy_pct = 0.07 and hour(timestamp) < 12) group by 1, 2, 3""",
+    ("temperature",),
+)
+def _(s):
+    return digests.differing_keys(*two_sides(s))
+
+
 @query("read_as_of", f"select *, cast(timestamp as date) as timestamp_day from humidity where timestamp < timestamp '{SPLIT}'", ("humidity",))
 def _(s):
     root = s.scratch("curated")
