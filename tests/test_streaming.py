@@ -11,8 +11,8 @@ from wattloom.contracts import table_schema
 from wattloom.functions.timestamps import to_epoch_ms
 from wattloom.operators import episodes
 from wattloom.session import scratch_dir
-from wattloom.sinks.maintenance import read_as_of
-from wattloom.streaming import ingest, latch, windows
+from wattloom.sinks.maintenance import compact, read_as_of
+from wattloom.streaming import copies, ingest, latch, windows
 
 T0 = datetime(2024, 1, 1)
 
@@ -97,6 +97,37 @@ def test_replayed_batch_is_not_its_own_copy(spark):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_copies_are_found_without_the_rows_of_the_table(spark):
+    path = f"{scratch_dir(spark, 'hashes')}/temperature"
+    write = ingest.curated_batch_writer(path, drop_copies=True)
+    for number, batch in enumerate([temperature(spark, 0, 1), temperature(spark, 90_000)]):
+        write(batch, number)
+    found = copies.new_rows(temperature(spark, 1, 2), path, 2)
+    assert found.inputFiles() and all("temperature_hashes/" in file for file in found.inputFiles())
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line]
+    assert scans and all("timestamp_day#" in line.partition("PartitionFilters: [")[2].partition("]")[0] for line in scans)
+    assert all("ReadSchema: struct<key_a:bigint,key_b:bigint>" in line for line in scans)
+    assert found.count() == 1
+
+
+def test_hashes_that_are_missing_or_old_are_made_up_for(spark):
+    path = f"{scratch_dir(spark, 'hashes')}/temperature"
+    ingest.curated_batch_writer(path)(temperature(spark, 0, 1), 0)  # without hashes
+    write = ingest.curated_batch_writer(path, drop_copies=True)
+    write(temperature(spark, 1, 2), 1)
+    assert spark.read.parquet(path).count() == 3
+    ingest.curated_batch_writer(path)(temperature(spark, 3, 4), 2)
+    compact(spark, path, before_batch=3)
+    untimed = temperature(spark, 0).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    write(temperature(spark, 0, 2, 3, 5).unionAll(untimed), 3)
+    write(temperature(spark, 4, 5, 6).unionAll(untimed), 4)
+    write(temperature(spark, 4, 5, 6).unionAll(untimed), 4)
+    table = spark.read.parquet(path)
+    assert table.count() == 8 and table.where("timestamp is null").count() == 1
+    write(spark.createDataFrame([], temperature(spark, 0).schema), 5)
+    assert spark.read.parquet(path).count() == 8
+
+
 def test_old_and_untyped_files_are_read(spark):
     import pyarrow as pa
     import pyarrow.parquet as pq

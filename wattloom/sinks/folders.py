@@ -30,6 +30,13 @@ class Folders:
                 size, count = size + file.getLen(), count + 1
         return size, count
 
+    def modified(self, path: str) -> dict[str, int]:
+        """Folders in a folder, with the time each was written at; none where there is no such folder."""
+        if not self.exists(path):
+            return {}
+        found = self.fs.listStatus(self._path(path))
+        return {s.getPath().getName(): s.getModificationTime() for s in found if s.isDirectory()}
+
     def make(self, path: str) -> None:
         self.fs.mkdirs(self._path(path))
 

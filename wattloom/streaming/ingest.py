@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +14,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from wattloom.contracts import raw_schema
 from wattloom.functions.timestamps import DAY_COLUMN
-from wattloom.sinks.writers import WRITE_COLUMN, commit_batch, with_day
+from wattloom.sinks.writers import WRITE_COLUMN, commit_batch
 from wattloom.sources.raw import conform, read_batch
+from wattloom.streaming.copies import new_rows, note_rows
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -93,35 +93,12 @@ def curated_batch_writer(path: str, drop_copies: bool = False):
             new_rows(batch, path, batch_id).write.mode("overwrite").parquet(staged)
             batch = spark.read.schema(batch.schema).parquet(staged)
         commit_batch(batch, path, batch_id, committed)
+        if drop_copies:
+            note_rows(batch, path, batch_id)
 
     return write
 
 
-def new_rows(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """Distinct rows of a micro-batch that no other batch has brought to the table at ``path``.
-
-    A row may come again at any later time, and a genuine row may be late by any time, so the batch is compared with the
-    table itself, with NULLs equal. Only the day partitions that the batch touches are read. What this batch wrote
-    before, in an attempt that failed, does not count.
-    """
-    spark = batch.sparkSession
-    rows = with_day(batch.distinct())
-    days = [r[DAY_COLUMN] for r in rows.select(DAY_COLUMN).distinct().collect()]  # one value per day in the batch
-    try:
-        table = spark.read.schema(curated_schema(batch.schema)).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return batch.distinct()
-    known = [d for d in days if d is not None]
-    touched = F.col(DAY_COLUMN).isin(known) if known else F.lit(False)
-    touched = touched | F.col(DAY_COLUMN).isNull() if None in days else touched
-    before = table.where(touched & ~F.col(WRITE_COLUMN).eqNullSafe(F.lit(f"b{batch_id}")))
-    before = before.select(*[F.col(c).alias(f"_old_{c}") for c in rows.columns])
-    same = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(before[f"_old_{c}"]) for c in rows.columns])
-    return rows.join(before, same, "left_anti").drop(DAY_COLUMN)
-
-
 def curated_schema(schema: T.StructType) -> T.StructType:
     """A table's columns with its partition columns."""
     return T.StructType([*schema.fields, T.StructField(DAY_COLUMN, T.DateType()), T.StructField(WRITE_COLUMN, T.StringType())])
