@@ -7,8 +7,19 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from wattloom.llm.token_files import Block, Model, decode_steps, encode_ids, pack_block, token_file_report
+from wattloom.llm.token_files import (
+    Block,
+    Model,
+    decode_steps,
+    encode_ids,
+    load_model,
+    pack_block,
+    read_token_files,
+    token_file_report,
+    write_token_files,
+)
 from wattloom.llm.tokens import Encoder, default_path
+from wattloom.session import scratch_dir
 
 
 def reference_ids(text):
@@ -95,3 +106,17 @@ def test_report_matches_the_tokenizer(spark, monkeypatch):
         start += len(ids)
     assert sorted(map(tuple, found), key=lambda r: r[1]) == expected
     assert token_file_report(docs.limit(0)).collect() == []
+
+
+def test_a_folder_is_read_alone(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (4, "ünï 💡 " * 50)], "doc_id long, text string")
+    folder = scratch_dir(spark, "alone")
+    write_token_files(docs, folder, default_path())
+    found = read_token_files(spark.newSession(), folder).orderBy("doc_id").collect()
+    assert [r["n_tokens"] for r in found] == [len(reference_ids(t or "")) for _, t in docs.collect()]
+    freq = load_model(spark, folder).freq
+    assert freq.sum() == 1 << 20
+    broken = scratch_dir(spark, "broken")
+    spark.createDataFrame([(b"other bytes!", 1)], "freq binary, crc bigint").write.parquet(f"{broken}/table")
+    with pytest.raises(ValueError):
+        load_model(spark, broken)

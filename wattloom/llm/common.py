@@ -28,17 +28,21 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder: the plan behind them is run once and survives lost executors.
+def saved(df: DataFrame, path: str) -> DataFrame:
+    """The rows as a Parquet table at ``path``.
 
     Python steps on the way get a few megabytes of text at a time, which both sides of the pipe hold several times over.
     """
-    path = scratch_dir(df.sparkSession, label)
     with settings(df.sparkSession, spark__sql__execution__arrow__maxRecordsPerBatch=str(BATCH_ROWS)):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder: the plan behind them is run once and survives lost executors."""
+    return saved(df, scratch_dir(df.sparkSession, label))
+
+
 def as_bytes(column: Column | str) -> Column:
     return F.encode(F.col(column) if isinstance(column, str) else column, "UTF-8")
 

@@ -12,6 +12,9 @@ The files of a table follow each other in ascending order of doc_id: rows are ra
 each task writes one file, and a manifest names the files of the tasks that finished. Which block begins at which id
 follows from running sums: inside a file by the task, over files from one row per file.
 
+A folder can be read alone: ``table`` in it has the frequency table with its checksum, ``manifest`` the blocks. The
+manifest is written last, so a folder without one is that of a job that did not finish.
+
 Nulls and edges: null text is the end id alone. Null identifiers come first. Rows that share an identifier are ordered by
 their ids. An empty table gives no file and an empty result. Identifiers are integers.
 """
@@ -25,10 +28,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import written
+from wattloom.llm.common import saved, written
 from wattloom.llm.files import create, open_file
 from wattloom.llm.tokens import END_ID, default_path, tokenized, unpacked
 from wattloom.session import scratch_dir, shuffle_partitions
@@ -39,6 +42,7 @@ CHECKPOINT_STEPS = 128
 PRECISION = 20
 MAGIC = b"RANSBLK1"
 HEAD = struct.Struct("<8sQQQIIIII")  # magic, documents, ids, words, lanes, steps per checkpoint, checkpoints, crc of ids, crc of rest
+MANIFEST = "file string, part bigint, offset bigint, bytes bigint, start_in_file bigint, n_tokens bigint"
 FLOOR = np.uint64(1 << 31)
 U = np.uint64
 
@@ -184,10 +188,24 @@ def count_ids(tokens: DataFrame) -> Model:
     return Model.fit(counts)
 
 
-def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> tuple[DataFrame, Model]:
-    """Write all ids under ``folder``; the manifest (one row per block) and the shared table."""
+def save_model(spark: SparkSession, model: Model, folder: str) -> None:
+    """The shared table, one number per id of the vocabulary, as one row."""
+    data = model.freq.astype("<u4").tobytes()
+    spark.createDataFrame([(data, zlib.crc32(data))], "freq binary, crc bigint").coalesce(1).write.parquet(f"{folder}/table")
+
+
+def load_model(spark: SparkSession, folder: str) -> Model:
+    row = spark.read.schema("freq binary, crc bigint").parquet(f"{folder}/table").first()
+    if row is None or zlib.crc32(row["freq"]) != row["crc"]:
+        raise ValueError("the frequency table does not match its checksum")
+    return Model(np.frombuffer(row["freq"], "<u4"))
+
+
+def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None:
+    """Write all ids under ``folder``, with the shared table and the manifest (one row per block)."""
     tokens = written(tokenized(docs, path, end_id), "tokens")
     model = count_ids(tokens)
+    save_model(docs.sparkSession, model, folder)
     freq = model.freq.astype(np.uint32)
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,14 +236,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int = END
     spark = docs.sparkSession
     ordered = tokens.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first())
     ordered = ordered.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids")
-    blocks = ordered.select("doc_id", "dtype", "ids").mapInArrow(
-        write, "file string, part bigint, offset bigint, bytes bigint, start_in_file bigint, n_tokens bigint"
-    )
-    return written(blocks, "token-manifest"), model
+    saved(ordered.select("doc_id", "dtype", "ids").mapInArrow(write, MANIFEST), f"{folder}/manifest")
 
 
-def read_token_files(manifest: DataFrame, folder: str, model: Model) -> DataFrame:
-    """One row per document, from the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document, from the folder alone: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    manifest, model = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest"), load_model(spark, folder)
     # One row per file, so the ordered sum fits one task.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.groupBy("file", "part").agg(F.sum("n_tokens").alias("n"))
@@ -252,12 +268,12 @@ def read_token_files(manifest: DataFrame, folder: str, model: Model) -> DataFram
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = blocks.repartition(shuffle_partitions(manifest.sparkSession))
+    spread = blocks.repartition(shuffle_partitions(spark))
     return spread.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def token_file_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write the token files of the documents, read them back, and digest what was read."""
     folder = scratch_dir(docs.sparkSession, "token-files")
-    manifest, model = write_token_files(docs, folder, path or default_path())
-    return read_token_files(manifest, folder, model)
+    write_token_files(docs, folder, path or default_path())
+    return read_token_files(docs.sparkSession, folder)
