@@ -209,6 +209,14 @@ def test_parts_are_replayed_and_folded(spark):
 PARTS = [[None, 0.5, 1.2], [0.0, 3.0], [None], [2.0, 2.5]]
 
 
+def landed_latch(spark, root):
+    return latch.landed_history(f"{root}/landing", "evse_state", f"{root}/index")
+
+
+def onsets(df):
+    return sorted(map(tuple, df.select("device_id", "timestamp", "derate_pct").collect()), key=str)
+
+
 @pytest.mark.parametrize("task_rows", [10**9, 1])
 def test_latch_survives_batches_and_equals_batch_result(spark, task_rows):
     root = scratch_dir(spark, "latch")
@@ -217,20 +225,72 @@ def test_latch_survives_batches_and_equals_batch_result(spark, task_rows):
         land(states(spark, position, part), root, "evse_state")
         position += len(part)
         rows = ingest.landing_stream(spark, f"{root}/landing", "evse_state")
-        latch.derate_onsets(rows, f"{root}/out", f"{root}/checkpoint", task_rows=task_rows).awaitTermination()
-    live = spark.read.parquet(f"{root}/out").drop("_write_id")
+        latch.derate_onsets(rows, f"{root}/out", f"{root}/checkpoint", landed_latch(spark, root), task_rows=task_rows).awaitTermination()
+    live = latch.read_onsets(spark, f"{root}/out")
     assert sorted(r["derate_pct"] for r in live.collect()) == [1.2, 2.0]
     whole = episodes.derate_onsets(states(spark, 0, [d for part in PARTS for d in part]))
-    assert sorted(map(tuple, live.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    assert onsets(live) == onsets(whole)
+
+
+def no_history(spark, days):
+    raise AssertionError("rows on time need no history")
 
 
 def test_latch_keeps_idle_devices_and_replays(spark):
     path = f"{scratch_dir(spark, 'latch')}/onsets"
-    write = latch.onset_writer(path)
+    write = latch.onset_writer(path, no_history)
     other = states(spark, 0, [5.0]).replace("d", "idle", "device_id")
-    batches = [states(spark, 0, [5.0]).unionAll(other), states(spark, 10, [6.0, None, 7.0]), other.replace(5.0, 9.0, "derate_pct")]
+    later = states(spark, 20, [9.0]).replace("d", "idle", "device_id")
+    batches = [states(spark, 0, [5.0]).unionAll(other), states(spark, 10, [6.0, None, 7.0]), later, later.limit(0)]
     for number, batch in enumerate(batches):
         for _ in range(2):
             write(batch, number)
-    got = spark.read.parquet(path).collect()
+    got = latch.read_onsets(spark, path).collect()
     assert sorted((r["device_id"], r["derate_pct"]) for r in got) == [("d", 5.0), ("d", 7.0), ("idle", 5.0)]
+
+
+def test_late_rows_take_back_and_add_onsets(spark):
+    root = scratch_dir(spark, "latch")
+    write = latch.onset_writer(f"{root}/out", landed_latch(spark, root))
+    day = 86400
+    steps = [
+        (states(spark, 0, [5.0, 6.0, 7.0]).unionAll(states(spark, day, [8.0])), {5.0}),
+        # A reset between two rows adds an onset.
+        (states(spark, 1, [None]).withColumn("timestamp", F.col("timestamp") + F.expr("interval 500 milliseconds")), {5.0, 7.0}),
+        # One at the end of the first day makes the next day's first row fire, without reading that day again.
+        (states(spark, day - 1, [None]), {5.0, 7.0, 8.0}),
+        # An earlier row takes the onset over, and a row before a day's first one takes that onset back.
+        (states(spark, -1, [4.0]), {4.0, 7.0, 8.0}),
+        (states(spark, day - 1, [3.0]).withColumn("timestamp", F.col("timestamp") + F.expr("interval 500 milliseconds")), {4.0, 7.0, 3.0}),
+    ]
+    so_far = None
+    for number, (batch, expected) in enumerate(steps):
+        land(batch, root, "evse_state")
+        so_far = batch if so_far is None else so_far.unionAll(batch)
+        for _ in range(2):
+            write(batch, number)
+        live = latch.read_onsets(spark, f"{root}/out")
+        assert {r["derate_pct"] for r in live.collect()} == expected
+        assert onsets(live) == onsets(episodes.derate_onsets(so_far))
+
+
+def test_latch_in_any_order_of_batches(spark):
+    pattern = [None, 2.0, 3.0, None, None, 4.0, 0.5, 5.0, None, 6.0, 7.0, None, 8.0, 9.0]
+    rows = [(f"d{n % 2}", T0 + timedelta(hours=5 * i + n), v) for n in range(2) for i, v in enumerate(pattern)] + [(None, T0, 3.0)]
+    from wattloom.sources.raw import conform
+
+    def frame(part):
+        return conform(spark.createDataFrame(part, "device_id string, timestamp timestamp_ntz, derate_pct double"), "evse_state")
+
+    root = scratch_dir(spark, "latch")
+    write = latch.onset_writer(f"{root}/out", landed_latch(spark, root), task_rows=1)
+    for number in range(4):
+        part = frame([r for i, r in enumerate(rows) if (i * 7 + i // 5) % 4 == number])
+        land(part, root, "evse_state")
+        write(part, number)
+    assert onsets(latch.read_onsets(spark, f"{root}/out")) == onsets(episodes.derate_onsets(frame(rows)))
+
+
+def test_spans_of_days():
+    days = [T0.date() + timedelta(days=n) for n in (4, 0, 1, 1)]
+    assert latch.spans_of(days) == [(T0, T0 + timedelta(days=2)), (T0 + timedelta(days=4), T0 + timedelta(days=5))]

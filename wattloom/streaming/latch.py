@@ -1,84 +1,184 @@
-"""Derating onsets on a live stream: a latch per device that survives micro-batches.
+"""Derating onsets on a live stream, right also for rows that come late.
 
-A device may bring a large part of a micro-batch, so its rows are not gathered in one task to walk
-through them. Every micro-batch is scanned with the batch operator, which cuts heavy devices; the
-latch enters the scan as one extra row per device, ahead of all others.
+The rows that matter to the latch are cut into segments: one per device, day and micro-batch. Within a segment onsets depend on
+its own rows only; between segments all that matters is a segment's first row and the last row of the one before it. So
+a micro-batch stores, under its own name, one summary per segment and the onsets inside it; a replay replaces them, nothing that
+earlier batches wrote is read for its rows, and ``read_onsets`` chains the summaries in event time.
+
+Chaining is right while the segments of a device's day do not overlap in time. A micro-batch whose segment overlaps an earlier
+one has late rows: that device's day alone is read again from the history, and its new segment takes the place of those before.
+This takes onsets back as well as adding them, also on the following days, whose first rows are judged when reading.
+
+A device may bring a large part of a micro-batch: segments are scanned with the batch operator, which cuts heavy keys.
+Rows without a time come before all others, in the order of their batches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+from datetime import date, datetime, time, timedelta
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wattloom.functions.rules import DERATED_FROM_PCT
+from wattloom.functions.timestamps import DAY_COLUMN, day_of
 from wattloom.operators.ordered import order_rows, previous_row
 from wattloom.operators.skew import TASK_ROWS
-from wattloom.sinks.writers import WRITE_COLUMN
+from wattloom.sources.landed import read_indexed
+from wattloom.sources.raw import conform
 from wattloom.streaming.ingest import each_batch
 
-_LATCH = "device_id string, fired boolean"
+BATCH = "batch"
+# Reads the stream's rows of some days, those of all earlier micro-batches at least; rows may repeat.
+History = Callable[[SparkSession, Sequence[date]], DataFrame]
+
+_ROW = "device_id string, timestamp timestamp_ntz, derate_pct double"
+_WHERE = f"{DAY_COLUMN} date, {BATCH} long"
+_INNER = f"{_ROW}, {_WHERE}"
+_SEGMENT = f"device_id string, first_ts timestamp_ntz, first_pct double, last_ts timestamp_ntz, last_pct double, rebuilt boolean, {_WHERE}"
+
+
+def spans_of(days: Sequence[date]) -> list[tuple[datetime, datetime]]:
+    """Runs of consecutive days as time ranges."""
+    spans: list[tuple[datetime, datetime]] = []
+    for day in sorted(set(days)):
+        start = datetime.combine(day, time())
+        if spans and spans[-1][1] == start:
+            start = spans.pop()[0]
+        spans.append((start, datetime.combine(day, time()) + timedelta(days=1)))
+    return spans
+
+
+def landed_history(root: str, stream: str, index: str) -> History:
+    """The landed files themselves, through the index that knows each file's event times. Files must not have been moved away."""
+
+    def read(spark: SparkSession, days: Sequence[date]) -> DataFrame:
+        parts = [conform(read_indexed(spark, root, stream, index, *span), stream) for span in spans_of(days)]
+        return reduce(DataFrame.unionAll, parts)
+
+    return read
+
+
+def curated_history(path: str) -> History:
+    """The curated table of the stream, where the job that fills it is never behind this one."""
+
+    def read(spark: SparkSession, days: Sequence[date]) -> DataFrame:
+        return spark.read.parquet(path).where(F.col(DAY_COLUMN).isin(list(days)))
+
+    return read
 
 
-def latched_onsets(batch: DataFrame, latch: DataFrame, task_rows: int = TASK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Onsets of a micro-batch and the latch after it, given the latch before it.
+def matter(df: DataFrame, limit: float = DERATED_FROM_PCT) -> DataFrame:
+    """Rows that set or reset the latch, with their day."""
+    found = df.select("device_id", "timestamp", "derate_pct", day_of(df).alias(DAY_COLUMN))
+    return found.where(F.col("derate_pct").isNull() | (F.col("derate_pct") >= limit))
 
-    ``batch`` holds only rows that set or reset the latch.
-    """
-    held = latch.select(
-        "device_id", F.lit(None).cast("timestamp_ntz").alias("timestamp"), F.when(F.col("fired"), F.lit(100.0)).alias("derate_pct"),
-        F.lit(True).alias("_held"),
+
+def segments(rows: DataFrame) -> DataFrame:
+    """First and last row per device and day. Of rows at one time those that reset come first."""
+    row = F.struct("timestamp", "derate_pct")
+    ends = rows.groupBy("device_id", DAY_COLUMN).agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    names = {f"{end}_{short}": F.col(f"{end}.{field}") for end in ("first", "last") for short, field in (("ts", "timestamp"), ("pct", "derate_pct"))}
+    return ends.select("device_id", *[c.alias(n) for n, c in names.items()], DAY_COLUMN)
+
+
+def inner_onsets(rows: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """Rows that set the latch right after a reset of the same device and day."""
+    marked = rows.withColumns({"_rank": F.coalesce("derate_pct", F.lit(-1.0)), "_row": F.lit(True)})
+    ordered = order_rows(marked, ["device_id", DAY_COLUMN], ["timestamp", "_rank"], task_rows)
+    scanned = previous_row(ordered, ["derate_pct", "_row"]).result()
+    fired = F.col("derate_pct").isNotNull() & F.col("prev__row").isNotNull() & F.col("prev_derate_pct").isNull()
+    return scanned.where(fired).select("device_id", "timestamp", "derate_pct", DAY_COLUMN)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _among(df: DataFrame, keys: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on ``names``, with NULL equal to NULL."""
+    wanted = keys.select(*[F.col(n).alias(f"_{n}") for n in names])
+    return df.join(wanted, reduce(lambda a, b: a & b, [df[n].eqNullSafe(wanted[f"_{n}"]) for n in names]), how)
+
+
+def overlapping(new: DataFrame, known: DataFrame) -> DataFrame:
+    """Device days whose new segment overlaps a known one, each once."""
+    before = known.select(
+        F.col("device_id").alias("_device"), F.col(DAY_COLUMN).alias("_day"), F.col("first_ts").alias("_first"), F.col("last_ts").alias("_last")
     )
-    rows = held.unionByName(batch.withColumn("_held", F.lit(False)))
-    # A NULL time sorts first, so the latch is the row before a device's first reading.
-    scanned = previous_row(order_rows(rows, ["device_id"], ["timestamp"], task_rows), ["derate_pct"]).result()
-    fired = ~F.col("_held") & F.col("derate_pct").isNotNull() & F.col("prev_derate_pct").isNull()
-    onsets = scanned.where(fired).select("device_id", "timestamp", "derate_pct")
-    is_set = F.col("derate_pct").isNotNull()
-    last = F.coalesce(F.max_by(is_set, F.col("timestamp")), F.bool_or(F.when(F.col("_held"), is_set)))
-    return onsets, rows.groupBy("device_id").agg(last.alias("fired"))
+    same = new["device_id"].eqNullSafe(before["_device"]) & (new[DAY_COLUMN] == before["_day"])
+    meets = (new["first_ts"] <= before["_last"]) & (new["last_ts"] >= before["_first"])
+    return new.join(before, same & meets, "left_semi").select("device_id", DAY_COLUMN)
 
 
-def onset_writer(path: str, limit: float = DERATED_FROM_PCT, task_rows: int = TASK_ROWS):
-    """``foreachBatch`` function that writes a micro-batch's onsets and the latch after it.
+def onset_writer(path: str, history: History, limit: float = DERATED_FROM_PCT, task_rows: int = TASK_ROWS):
+    """``foreachBatch`` function that stores a micro-batch's segments and the onsets inside them."""
+    segment_path, inner_path = f"{path}/segments", f"{path}/inner"
 
-    The latch alternates between two folders: a replayed batch finds what the batch before it left
-    and overwrites only what it wrote itself.
-    """
+    def store(df: DataFrame, batch_id: int, to: str) -> None:
+        named = df.withColumn(BATCH, F.lit(batch_id).cast("long")).hint("rebalance", DAY_COLUMN)
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(DAY_COLUMN, BATCH).parquet(to)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        matter = batch.select("device_id", "timestamp", "derate_pct").where(
-            F.col("derate_pct").isNull() | (F.col("derate_pct") >= limit)
-        )
-        matter.persist()
+        rows = matter(batch, limit).persist()
         try:
-            if batch_id:
-                latch = spark.read.schema(_LATCH).parquet(f"{path}_latch/slot={(batch_id - 1) % 2}")
-            else:
-                latch = spark.createDataFrame([], _LATCH)
-            onsets, after = latched_onsets(matter, latch, task_rows)
-            onsets.withColumn(WRITE_COLUMN, F.lit(f"b{batch_id}")).write.mode("overwrite").option(
-                "partitionOverwriteMode", "dynamic"
-            ).partitionBy(WRITE_COLUMN).parquet(path)
-            after.write.mode("overwrite").parquet(f"{path}_latch/slot={batch_id % 2}")
+            new = segments(rows)
+            days = [r[0] for r in new.select(DAY_COLUMN).distinct().collect() if r[0] is not None]
+            known = _stored(spark, segment_path, _SEGMENT).where(F.col(DAY_COLUMN).isin(days) & (F.col(BATCH) < batch_id))
+            # Written, because the table that tells what is late is about to be written to.
+            staged = f"{path}/late/slot={batch_id % 2}"
+            overlapping(new, known).write.mode("overwrite").parquet(staged)
+            late = spark.read.schema(f"device_id string, {DAY_COLUMN} date").parquet(staged)
+            late_days = [r[0] for r in late.select(DAY_COLUMN).distinct().collect()]
+            found, inner = new.withColumn("rebuilt", F.lit(False)), None
+            if late_days:
+                keys = ["device_id", DAY_COLUMN]
+                again = matter(history(spark, late_days), limit).unionByName(rows)
+                whole = _among(again, late, keys, "left_semi").distinct()
+                on_time = _among(rows, late, keys, "left_anti")
+                found = segments(on_time).withColumn("rebuilt", F.lit(False)).unionByName(segments(whole).withColumn("rebuilt", F.lit(True)))
+                inner = inner_onsets(on_time.unionByName(whole), task_rows)
+            # Onsets count only with their segment, so that one is written last.
+            store(inner_onsets(rows, task_rows) if inner is None else inner, batch_id, inner_path)
+            store(found, batch_id, segment_path)
         finally:
-            matter.unpersist()
+            rows.unpersist()
 
     return write
 
 
+def read_onsets(spark: SparkSession, path: str) -> DataFrame:
+    """Per device, the first row at or above the limit after each absence of derating: device_id, timestamp, derate_pct."""
+    of_day = Window.partitionBy("device_id", DAY_COLUMN)
+    since = F.coalesce(F.max(F.when(F.col("rebuilt"), F.col(BATCH))).over(of_day), F.lit(-1))
+    kept = _stored(spark, f"{path}/segments", _SEGMENT).withColumn("_since", since).where(F.col(BATCH) >= F.col("_since")).drop("_since")
+    before = F.lag("last_pct").over(Window.partitionBy("device_id").orderBy("first_ts", BATCH))
+    firsts = kept.withColumn("_before", before).where("first_pct is not null and _before is null")
+    inside = _among(_stored(spark, f"{path}/inner", _INNER), kept, ["device_id", DAY_COLUMN, BATCH], "left_semi")
+    return firsts.select("device_id", F.col("first_ts").alias("timestamp"), F.col("first_pct").alias("derate_pct")).unionByName(
+        inside.select("device_id", "timestamp", "derate_pct")
+    )
+
+
 def derate_onsets(
     df: DataFrame,
     path: str,
     checkpoint: str,
+    history: History,
     every: str | None = None,
     limit: float = DERATED_FROM_PCT,
     task_rows: int = TASK_ROWS,
 ) -> StreamingQuery:
-    """Start the job that writes, per device, the first row at or above ``limit`` after each absence of derating.
-
-    Rows are put in time order within a micro-batch; a row that is late across micro-batches is taken
-    as it comes.
-    """
-    return each_batch(df, "evse_state", checkpoint, onset_writer(path, limit, task_rows), every)
+    """Start the job that keeps what ``read_onsets`` needs under ``path``."""
+    return each_batch(df, "evse_state", checkpoint, onset_writer(path, history, limit, task_rows), every)
