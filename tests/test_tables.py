@@ -8,13 +8,15 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wattloom.contracts import STREAMS, raw_schema, table_schema
 from wattloom.operators.quality import Check, missing
 from wattloom.plans.views import register_raw_views
 from wattloom.session import scratch_dir, settings
-from wattloom.sinks import catalog, maintenance, writers
+from wattloom.sinks import catalog, maintenance, versions, writers
+from wattloom.sinks.folders import Folders
 from wattloom.sinks.maintenance import CompactionError, compact, content, read_as_of, recover
 from wattloom.sinks.publish import at_least_rows, publish
 from wattloom.sources.raw import conform, read_raw
@@ -370,15 +372,42 @@ def test_curated_schema_is_the_contracts_whatever_the_files_hold(spark):
     assert path.endswith("temperature")
 
 
-def test_failed_model_run_leaves_the_model(spark):
+def test_failed_model_run_leaves_the_model(spark, monkeypatch):
     path = f"{scratch_dir(spark, 'models')}/m"
-    writers.write_model(spark.range(3), path)
+    versions.write_model(spark.range(3), path)
     bad = spark.range(2).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
     with pytest.raises(Exception, match="no"):
-        writers.write_model(bad, path)
-    assert spark.read.parquet(path).count() == 3
-    writers.write_model(spark.range(5), path)
-    assert spark.read.parquet(path).count() == 5
+        versions.write_model(bad, path)
+    assert versions.read_model(spark, path).count() == 3
+
+    # A run that dies after its rows are written, right before they become the model.
+    def die(*_):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(Folders, "mark", die)
+        with pytest.raises(OSError):
+            versions.write_model(spark.range(4), path)
+    early = versions.read_model(spark, path)
+    assert early.count() == 3
+    versions.write_model(spark.range(5), path)
+    # Whoever has planned on the version before can still read it.
+    assert (versions.read_model(spark, path).count(), early.count()) == (5, 3)
+    assert len(versions.remove_unfinished(spark, path)) == 2
+    assert versions.remove_unfinished(spark, path) == []
+    versions.write_model(spark.range(6), path, keep=1)
+    assert versions.read_model(spark, path).count() == 6
+    assert len(Folders(spark, path).names(path)) == 2  # the version and the marks
+
+
+def test_model_folder_without_versions(spark):
+    path = f"{scratch_dir(spark, 'models')}/m"
+    with pytest.raises(AnalysisException):
+        versions.read_model(spark, path)
+    spark.range(2).write.parquet(path)
+    assert versions.read_model(spark, path).count() == 2
+    versions.write_model(spark.range(4), path)
+    assert versions.read_model(spark, path).count() == 4
 
 
 def test_old_versions_are_removed(spark):

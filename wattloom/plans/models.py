@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.operators import staging
 from wattloom.operators.aggregates import power_daily
-from wattloom.sinks.writers import write_model
+from wattloom.sinks.versions import read_model, write_model
 
 
 @dataclass(frozen=True)
@@ -75,8 +75,9 @@ def materialize(spark: SparkSession, model: Model, df: DataFrame, root: str) ->
     if model.materialized == "view":
         df.createOrReplaceTempView(model.name)
         return spark.table(model.name)
-    path = write_model(df, f"{root.rstrip('/')}/{model.name}", model.partition_by, model.cluster_by)
-    return spark.read.parquet(path)
+    path = f"{root.rstrip('/')}/{model.name}"
+    write_model(df, path, model.partition_by, model.cluster_by)
+    return read_model(spark, path)
 
 
 def run_models(

@@ -47,5 +47,15 @@ class Folders:
     def drop(self, path: str) -> None:
         self.fs.delete(self._path(path), True)
 
+    def files(self, path: str) -> list[str]:
+        """Names of the files in a folder; none where there is no such folder."""
+        if not self.exists(path):
+            return []
+        return [s.getPath().getName() for s in self.fs.listStatus(self._path(path)) if s.isFile()]
+
+    def mark(self, path: str) -> None:
+        """Create an empty file that must not exist yet."""
+        self.fs.create(self._path(path), False).close()
+
     def exists(self, path: str) -> bool:
         return self.fs.exists(self._path(path))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wattloom.operators.quality import Check, run_checks
 from wattloom.sinks.folders import Folders
-from wattloom.sinks.writers import write_model
+from wattloom.sinks.writers import write_clustered
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ def publish(
     """
     folder = f"{root.rstrip('/')}/{view.split('.')[-1]}"
     path = f"{folder}/version={uuid.uuid4().hex}"
-    write_model(df, path, partition_by, mode="errorifexists")
+    write_clustered(df, path, partition_by)
     staged = spark.read.parquet(path)
     report = run_checks({c.table: staged for c in checks}, checks)
     outcome = report.collect() if checks else []  # one row per check

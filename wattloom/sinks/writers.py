@@ -8,7 +8,6 @@ it would not save files, only make one task write many.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from contextlib import nullcontext
 from datetime import datetime
@@ -20,7 +19,6 @@ from pyspark.sql.readwriter import DataFrameWriter
 from wattloom.contracts import STREAMS, table_schema
 from wattloom.functions.timestamps import DAY_COLUMN, moment, partition_columns, to_epoch_ms
 from wattloom.session import settings
-from wattloom.sinks.folders import Folders
 from wattloom.sources.raw import LAYOUT
 
 BATCH_COLUMN = "_batch_id"
@@ -91,30 +89,15 @@ def commit_batch(df: DataFrame, path: str, batch_id: int, committed_at: datetime
         writer.option("partitionOverwriteMode", "dynamic").save(path)
 
 
-def write_model(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), mode: str = "overwrite"
+def write_clustered(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), mode: str = "errorifexists"
 ) -> str:
-    """Write a model's rows, partitioned and clustered for skipping.
-
-    Overwriting writes beside the model and swaps the folders at the end, so a run that fails leaves the model as it was.
-    """
+    """Write rows to a folder, partitioned and clustered for skipping."""
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     if cluster_by:
         rows = rows.sortWithinPartitions(*partition_by, *cluster_by)
-    path = path.rstrip("/")
-    folders = Folders(df.sparkSession, path)
-    swap = mode == "overwrite" and folders.exists(path)
-    token = uuid.uuid4().hex[:12]
-    target = f"{path}__new-{token}" if swap else path
-    # A model is replaced as a whole, also when a partition it had before is gone.
     with _spread(df.sparkSession, partition_by):
-        _parquet(rows, mode, partition_by).option("partitionOverwriteMode", "static").save(target)
-    if swap:
-        old = f"{path}__old-{token}"
-        folders.move(path, old)
-        folders.move(target, path)
-        folders.drop(old)
-        df.sparkSession.catalog.refreshByPath(path)
+        _parquet(rows, mode, partition_by).option("partitionOverwriteMode", "static").save(path)
     return path
 
 

@@ -10,7 +10,7 @@ from wattloom.contracts import STREAMS
 from wattloom.functions.timestamps import to_epoch_ms
 from wattloom.functions.hashing import row_hash
 from wattloom.operators import aggregates as agg
-from wattloom.operators import latest, staging
+from wattloom.operators import distinct, latest, staging
 from wattloom.sources.raw import conform
 from wattloom.suite.fixtures import AS_OF
 from wattloom.suite.registry import avg4, query, sum4
@@ -279,3 +279,28 @@ def _(s):
     keys = table.select(row_hash(table.columns).alias("known")).distinct()
     found = sample.join(keys, sample["key"] == keys["known"], "left")
     return found.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("known").isNull(), F.lit(1))).alias("not_in_table"))
+
+
+def day_bitmaps(s, columns):
+    """Bitmaps of the electrical stream's days, noted in two parts, so that the dictionary grows."""
+    path, rows = s.scratch("distinct"), s("evse_electrical")
+    for part in (F.col("timestamp") < F.lit("2024-01-13").cast("timestamp_ntz"), F.col("timestamp") >= F.lit("2024-01-13").cast("timestamp_ntz")):
+        distinct.note_days(rows.where(part), path, columns)
+    return distinct.read_days(s.spark, path)
+
+
+@query("count_distinct_stored", "select count(distinct device_id) as n from evse_electrical", ("evse_electrical",))
+def _(s):
+    return distinct.distinct_over(day_bitmaps(s, ["device_id"]))
+
+
+@query(
+    "connectors_rolling_week",
+    """, days as (select distinct cast(timestamp as date) as day from evse_electrical)
+select day, count(distinct (asset_id, connector_id, device_id)) as connectors
+from days join evse_electrical on cast(timestamp as date) between day - 6 and day group by day""",
+    ("evse_electrical",),
+)
+def _(s):
+    # A connector's number repeats between chargers, so the charger is part of the value.
+    return distinct.distinct_rolling(day_bitmaps(s, ["asset_id", "connector_id", "device_id"]), 7, "connectors")

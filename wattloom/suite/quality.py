@@ -8,8 +8,8 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from wattloom.contracts import STREAMS, allowed_values, required_columns
+from wattloom.operators import moments, staging
 from wattloom.operators import quality as dq
-from wattloom.operators import staging
 from wattloom.operators.aggregates import power_daily, union_labelled
 from wattloom.suite.aggregates import MART
 from wattloom.suite.models import ELECTRICAL
@@ -201,6 +201,47 @@ def _(s):
     return dq.outliers(needed, "value_celsius", 3.0, scale=4)
 
 
+def temperature_moments(s):
+    """Stored moments of the temperature stream, written in two parts of days."""
+    path, rows = s.scratch("moments"), s("temperature")
+    for part in ("timestamp < timestamp_ntz'2024-01-20'", "timestamp >= timestamp_ntz'2024-01-20'"):
+        moments.write_moments(rows.where(part), path, "value_celsius")
+    return moments.read_moments(s.spark, path)
+
+
+NEW_DAYS = "timestamp >= timestamp '2024-01-20'"
+
+
+@query(
+    "dq_outliers_stored",
+    f""", stats as (select device_id, count(value_celsius) as n, cast(sum(cast(value_celsius as decimal(12,4))) as double) as s1,
+ cast(sum(cast(value_celsius as decimal(12,4)) * cast(value_celsius as decimal(12,4))) as double) as s2 from temperature group by device_id)
+select t.device_id, t.timestamp, t.value_celsius, s1 / n as mean, sqrt(greatest(0, (s2 - s1 * s1 / n) / (n - 1))) as stddev
+from temperature t join stats using (device_id)
+where {NEW_DAYS} and n > 1 and abs(t.value_celsius - s1 / n) > 2 * sqrt(greatest(0, (s2 - s1 * s1 / n) / (n - 1)))""",
+    ("temperature",),
+)
+def _(s):
+    new = s("temperature").select("device_id", "timestamp", "value_celsius").where(NEW_DAYS.replace("timestamp '", "timestamp_ntz'"))
+    return moments.outliers_of_days(new, temperature_moments(s), "value_celsius", 2.0)
+
+
+@query(
+    "dq_outliers_trailing",
+    f""", days as (select distinct device_id, cast(timestamp as date) as day from temperature where value_celsius is not null),
+stats as (select d.device_id, d.day, count(*) as n, cast(sum(cast(value_celsius as decimal(12,4))) as double) as s1,
+ cast(sum(cast(value_celsius as decimal(12,4)) * cast(value_celsius as decimal(12,4))) as double) as s2 from days d join temperature t
+ on t.device_id = d.device_id and cast(t.timestamp as date) between d.day - 14 and d.day - 1 where value_celsius is not null group by 1, 2)
+select t.device_id, t.timestamp, t.value_celsius, s1 / n as mean, sqrt(greatest(0, (s2 - s1 * s1 / n) / (n - 1))) as stddev
+from temperature t join stats s on t.device_id = s.device_id and cast(t.timestamp as date) = s.day
+where {NEW_DAYS} and n > 1 and abs(t.value_celsius - s1 / n) > 2 * sqrt(greatest(0, (s2 - s1 * s1 / n) / (n - 1)))""",
+    ("temperature",),
+)
+def _(s):
+    new = s("temperature").select("device_id", "timestamp", "value_celsius").where(NEW_DAYS.replace("timestamp '", "timestamp_ntz'"))
+    return moments.outliers_of_days(new, temperature_moments(s), "value_celsius", 2.0, days=14)
+
+
 SUITE = f"""{STAGED}, results as (
 select 'electrical_limits' as name, count(*) as failures from staged where {ELECTRICAL_LIMITS}
 union all select 'electrical_power_plausible', count(*) from staged where {PLAUSIBLE}
