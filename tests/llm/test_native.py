@@ -8,6 +8,7 @@ import pytest
 from compare import connect, differences
 
 from wattloom.llm import quality_rules
+from wattloom.llm.common import written
 from wattloom.llm.exact_dedup import drop_exact_duplicates, exact_dedup_report
 from wattloom.llm.line_dedup import drop_repeated_lines, line_report
 from wattloom.llm.queries import ORACLES, QUERIES
@@ -72,12 +73,17 @@ def test_quality_rules(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.n_lines) == (n, chars, symbols, dup, repeat, lines)
         assert r.base_failed == (n < 10 or 100 * repeat > 20 * n)
         assert r.kept == (r.failed == 0) and (not r.base_failed or not r.kept)
+        assert r.sole_rule == next((name for name, bit in quality_rules.BITS.items() if r.failed == bit), None)
+        assert r.sole_rule_docs == (sum(o.failed == r.failed for o in rows) if r.sole_rule else None)
     assert quality_rules.quality_report(docs.limit(0)).collect() == []
 
 
 def test_policies_and_ablation(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
-    entries = quality_rules.ledger(docs)
+    entries = written(quality_rules.ledger(docs), "ledger")
+    # What is stored answers every question; no text is read again.
+    for asked in (quality_rules.apply_policy(entries), quality_rules.ablation(entries)):
+        assert "regexp" not in asked._jdf.queryExecution().optimizedPlan().toString()
     failed = [r.failed for r in entries.collect()]
     for version, rules in quality_rules.POLICIES.items():
         mask = quality_rules.mask_of(rules)

@@ -1,7 +1,8 @@
 """Quality rules as a bitmask ledger.
 
 ``ledger`` reads every text once and stores its measurements and one bit per rule that it fails. Policies are versioned
-sets of rules; applying one, or asking what each rule adds to it, only needs bitwise operations on the stored bits.
+sets of rules; applying one, or asking what each rule adds to it, only needs bitwise operations on the stored bits. The
+ledger is a table of a few numbers a row: verdicts and ablations read it, never the texts.
 
 Everything is DataFrame functions. Repeated five-word windows are found inside a row: the windows' hashes are sorted
 with their positions, equal neighbours are repeats, and the union of their ranges is summed, so a text costs
@@ -20,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.llm.common import SPACE, WORD, let, text_of
+from wattloom.llm.common import SPACE, WORD, let, text_of, written
 
 WINDOW = 5
 SYMBOLS = r"[^#*$%&|<>]+"
@@ -132,7 +133,20 @@ def ablation(entries: DataFrame, version: str = "v2") -> DataFrame:
     )
 
 
+def sole_rule(version: str = "v2") -> Column:
+    """The rule without which a policy would keep the document; null where there is none, or where it is kept anyway."""
+    found = failed_under(POLICIES[version])
+    return F.coalesce(*[F.when(found == BITS[name], F.lit(name)) for name in POLICIES[version]])
+
+
 def quality_report(docs: DataFrame, version: str = "v2") -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines, failed."""
-    judged = apply_policy(ledger(docs), version)
-    return judged.select("doc_id", *MEASURES[:5], "base_failed", "kept", "n_lines", "failed")
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines, failed, and the ablation.
+
+    ``sole_rule`` names the rule that alone removes the document, ``sole_rule_docs`` how many documents it alone removes.
+    Both come from the stored ledger. The counts are one row per rule, which is what is broadcast.
+    """
+    entries = written(ledger(docs), "ledger")
+    judged = apply_policy(entries, version).withColumn("sole_rule", sole_rule(version))
+    removed = ablation(entries, version).select(F.col("rule").alias("__llm_rule"), F.col("n_only").alias("sole_rule_docs"))
+    judged = judged.join(F.broadcast(removed), F.col("sole_rule") == F.col("__llm_rule"), "left")
+    return judged.select("doc_id", *MEASURES[:5], "base_failed", "kept", "n_lines", "failed", "sole_rule", "sole_rule_docs")

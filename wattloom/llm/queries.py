@@ -136,8 +136,9 @@ ORACLES: dict[str, str] = {
             from measured
         )
         select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed % 4 > 0 as base_failed, failed = 0 as kept,
-            n_lines, failed
-        from judged
+            n_lines, failed, rule as sole_rule, case when rule is not null then count(*) over (partition by rule) end as sole_rule_docs
+        from judged left join (values (1, 'few_words'), (2, 'repeated_windows'), (4, 'many_symbols'), (8, 'repeated_lines'),
+            (16, 'short_words'), (32, 'long_words')) as rules(bit, rule) on failed = bit
     """,
     "op4_line_dedup": r"""
         with lines as (
