@@ -4,8 +4,10 @@ import hashlib
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from compare import connect, differences
+from pyspark.sql import functions as F
 
 from wattloom.llm import quality_rules
 from wattloom.llm.common import written
@@ -116,3 +118,29 @@ def test_line_dedup(spark):
     assert sorted(map(tuple, line_report(docs).collect()), key=repr) == sorted(expected, key=repr)
     assert gone and drop_repeated_lines(docs).columns[:3] == docs.columns
     assert line_report(docs.limit(0)).collect() == []
+
+
+def test_line_dedup_of_rows_that_share_identifiers_like_its_sql(spark, tmp_path):
+    stock = [f"stock line {n} that is long enough to count as one" for n in range(3)]
+    # Three identifiers, each twice: six documents hold the first line, four the second, and a row that is there twice.
+    rows = [(i // 2, stock[0] + (f"\n{stock[1]}" if i < 4 else "") + f"\nown {i}") for i in range(6)] + [(9, f"{stock[0]}\n{stock[2]}")] * 2
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/d")
+    (part,) = (tmp_path / "d").glob("*.parquet")
+    part.rename(tmp_path / "documents.parquet")
+    got = QUERIES["op4_line_dedup"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    problems, count = differences(got, con, ORACLES["op4_line_dedup"])
+    assert problems == [] and count == len(rows)
+    assert sorted((r.doc_id, r.n_dropped) for r in got.collect()) == [(0, 1), (0, 1), (1, 1), (1, 1), (2, 1), (2, 1), (9, 0), (9, 0)]
+
+
+def test_texts_of_many_stock_lines(spark):
+    """All lines of long texts go; with a search through the dropped lines for every line this would take hours."""
+    lines = 40_000
+    docs = spark.range(5, numPartitions=5).select(
+        F.col("id").alias("doc_id"),
+        F.array_join(F.transform(F.sequence(F.lit(1), F.lit(lines)), lambda i: F.concat(F.lit("a stock line of forty or more characters "), i % (lines // 2))), "\n").alias("text"),
+    )
+    found = sorted((r.doc_id, r.n_lines, r.n_dropped) for r in line_report(docs).collect())
+    assert found == [(i, lines, lines if i < 4 else 0) for i in range(5)]

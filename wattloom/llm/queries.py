@@ -142,21 +142,21 @@ ORACLES: dict[str, str] = {
     """,
     "op4_line_dedup": r"""
         with lines as (
-            select doc_id, pos, part,
+            select row, doc_id, pos, part,
                 translate(regexp_replace(part, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
-            from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
+            from (select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents),
                 unnest(parts) with ordinality as u(part, pos)
         ),
         frequent as (
-            select key, max(doc_id) as last_doc from lines where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+            select key, max(doc_id) as last_doc from lines where length(key) >= 40 group by key having count(distinct row) >= 5
         ),
         marked as (
-            select lines.*, frequent.key is not null and lines.doc_id <> last_doc as gone
+            select lines.*, frequent.key is not null and lines.doc_id is distinct from last_doc as gone
             from lines left join frequent on frequent.key = lines.key
         )
         select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
             sha256(coalesce(string_agg(part, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
-        from marked group by doc_id
+        from marked group by row, doc_id
     """,
     "op5_warc": r"""
         with signed as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as h from pages),
