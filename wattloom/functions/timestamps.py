@@ -78,9 +78,11 @@ def time_range(
     return df
 
 
-def recent(df: DataFrame, span: timedelta, as_of: datetime | str | None = None, column: str = "timestamp") -> DataFrame:
-    """Rows no older than ``span`` before ``as_of``, and none after it."""
-    return _until(time_range(df, start=moment(as_of) - F.lit(span), column=column), as_of, column)
+def recent(
+    df: DataFrame, span: timedelta, as_of: datetime | str | None = None, column: str = "timestamp", ahead: bool = False
+) -> DataFrame:
+    """Rows no older than ``span`` before ``as_of``, and none after it unless ``ahead``."""
+    return _until(time_range(df, start=moment(as_of) - F.lit(span), column=column), None if ahead else as_of, column)
 
 
 def since_midnight(df: DataFrame, days: int = 0, as_of: datetime | str | None = None, column: str = "timestamp") -> DataFrame:

@@ -1,5 +1,8 @@
 """Marts and time-bucketed summaries.
 
+"Last hour" and the like have no end: rows stamped ahead of now count, as they do in SQL that compares with now. With an
+``as_of`` they are left out, as they did not exist then; ``ahead`` counts them there too.
+
 Every aggregate here combines before its shuffle, so a bucket or device with a large part of all
 rows costs the reducer one partial row per map task. ``digits`` rounds for display, ``scale`` makes
 sums independent of row order (see ``functions.numbers``).
@@ -133,11 +136,12 @@ def daily_load(
     connector: str = "connector_id",
     digits: tuple[int, int, int] | None = (2, 1, 2),
     scale: int | None = None,
+    ahead: bool = False,
 ) -> DataFrame:
     """Load per day. ``connector_id`` repeats between chargers; count ``device_id`` for real connectors."""
     kwh, volts, amps = digits or (None, None, None)
     return (
-        recent(df, span, as_of)
+        recent(df, span, as_of, ahead=ahead)
         .groupBy(F.to_date("timestamp").alias("day"))
         .agg(
             F.countDistinct(connector).alias("connectors"),
