@@ -12,6 +12,9 @@ QUERIES = [
     "evse_daily_load",
     "evse_daily_load_devices",
     "filter_recent",
+    "filter_recent_days",
+    "temperature_daily",
+    "mart_last_7_days",
 ]
 
 

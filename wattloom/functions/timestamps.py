@@ -85,10 +85,12 @@ def recent(
     return _until(time_range(df, start=moment(as_of) - F.lit(span), column=column), None if ahead else as_of, column)
 
 
-def since_midnight(df: DataFrame, days: int = 0, as_of: datetime | str | None = None, column: str = "timestamp") -> DataFrame:
-    """Rows since 00:00 of the day ``days`` before ``as_of``, and none after it."""
+def since_midnight(
+    df: DataFrame, days: int = 0, as_of: datetime | str | None = None, column: str = "timestamp", ahead: bool = False
+) -> DataFrame:
+    """Rows since 00:00 of the day ``days`` before ``as_of``, and none after it unless ``ahead``."""
     start = F.date_sub(F.to_date(moment(as_of)), days).cast("timestamp_ntz")
-    return _until(time_range(df, start=start, column=column), as_of, column)
+    return _until(time_range(df, start=start, column=column), None if ahead else as_of, column)
 
 
 def _until(df: DataFrame, as_of: datetime | str | None, column: str) -> DataFrame:

@@ -55,10 +55,12 @@ def power_daily(staged: DataFrame, scale: int | None = None) -> DataFrame:
     )
 
 
-def mart_recent_days(mart: DataFrame, days: int = 7, as_of: AsOf = None, scale: int | None = None) -> DataFrame:
+def mart_recent_days(mart: DataFrame, days: int = 7, as_of: AsOf = None, scale: int | None = None, ahead: bool = False) -> DataFrame:
     """Mart rows of the last days per day and device, newest and largest first."""
     today = F.to_date(moment(as_of))
-    kept = mart.where(F.col("day").between(F.date_sub(today, days), today))
+    kept = mart.where(F.col("day") >= F.date_sub(today, days))
+    if as_of is not None and not ahead:
+        kept = kept.where(F.col("day") <= today)
     return (
         kept.groupBy("day", "device_id")
         .agg(
@@ -86,10 +88,10 @@ def temperature_per_minute(
 
 
 def temperature_daily(
-    df: DataFrame, days: int = 7, as_of: AsOf = None, digits: int | None = 2, scale: int | None = None
+    df: DataFrame, days: int = 7, as_of: AsOf = None, digits: int | None = 2, scale: int | None = None, ahead: bool = False
 ) -> DataFrame:
     return (
-        since_midnight(df, days, as_of)
+        since_midnight(df, days, as_of, ahead=ahead)
         .groupBy(F.to_date("timestamp").alias("day"))
         .agg(
             rounded(F.min("value_celsius"), digits).alias("min_temp_c"),
