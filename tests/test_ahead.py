@@ -13,6 +13,7 @@ QUERIES = [
     "evse_daily_load_devices",
     "filter_recent",
     "filter_recent_days",
+    "session_events_today",
     "temperature_daily",
     "mart_last_7_days",
 ]

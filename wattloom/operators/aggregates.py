@@ -155,8 +155,8 @@ def daily_load(
     )
 
 
-def session_events_hourly(df: DataFrame, today_only: bool = False, as_of: AsOf = None) -> DataFrame:
-    kept = since_midnight(df, 0, as_of) if today_only else df
+def session_events_hourly(df: DataFrame, today_only: bool = False, as_of: AsOf = None, ahead: bool = False) -> DataFrame:
+    kept = since_midnight(df, 0, as_of, ahead=ahead) if today_only else df
     return (
         kept.groupBy(bucket("hour", "timestamp").alias("hour"), "event_type", "severity")
         .agg(F.count(F.lit(1)).alias("n"))
