@@ -14,6 +14,7 @@ QUERIES = [
     "filter_recent",
     "filter_recent_days",
     "session_events_today",
+    "temperature_per_minute",
     "temperature_daily",
     "mart_last_7_days",
 ]

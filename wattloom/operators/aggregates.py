@@ -73,10 +73,15 @@ def mart_recent_days(mart: DataFrame, days: int = 7, as_of: AsOf = None, scale:
 
 
 def temperature_per_minute(
-    df: DataFrame, span: timedelta = timedelta(hours=1), as_of: AsOf = None, digits: int | None = 2, scale: int | None = None
+    df: DataFrame,
+    span: timedelta = timedelta(hours=1),
+    as_of: AsOf = None,
+    digits: int | None = 2,
+    scale: int | None = None,
+    ahead: bool = False,
 ) -> DataFrame:
     return (
-        recent(df, span, as_of)
+        recent(df, span, as_of, ahead=ahead)
         .groupBy(bucket("minute", "timestamp").alias("ts"))
         .agg(
             rounded(mean("value_celsius", scale), digits).alias("avg_temp_c"),
