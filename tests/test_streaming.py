@@ -294,3 +294,38 @@ def test_latch_in_any_order_of_batches(spark):
 def test_spans_of_days():
     days = [T0.date() + timedelta(days=n) for n in (4, 0, 1, 1)]
     assert latch.spans_of(days) == [(T0, T0 + timedelta(days=2)), (T0 + timedelta(days=4), T0 + timedelta(days=5))]
+
+
+def test_late_batch_reads_the_history_once(spark, monkeypatch):
+    root, opened = scratch_dir(spark, "latch"), []
+
+    def watched(step):
+        return lambda rows, *rest: (opened.extend(rows.inputFiles()), step(rows, *rest))[1]
+
+    for name in ("segments", "inner_onsets"):
+        monkeypatch.setattr(latch, name, watched(getattr(latch, name)))
+    write = latch.onset_writer(f"{root}/out", landed_latch(spark, root))
+    batches = [states(spark, 0, [5.0, None, 6.0]), states(spark, 1, [None, 7.0])]
+    for number, batch in enumerate(batches):
+        land(batch, root, "evse_state")
+        write(batch, number)
+    assert onsets(latch.read_onsets(spark, f"{root}/out")) == onsets(episodes.derate_onsets(batches[0].unionAll(batches[1])))
+    # What follows the one read works on the rows of late device days, which it wrote.
+    assert opened and not [f for f in opened if "/landing/" in f]
+
+
+def test_spread_landing_does_not_depend_on_row_groups(spark):
+    from wattloom.session import settings
+    from wattloom.suite.registry import Inputs
+    from wattloom.suite.streams import catch_up
+
+    class Nothing:
+        def processAllAvailable(self): ...
+
+        def stop(self): ...
+
+    root, s = scratch_dir(spark, "spread"), Inputs(spark, "/root/testdata/sf0.1")
+    with settings(spark, spark__sql__adaptive__coalescePartitions__minPartitionSize="64k"):
+        catch_up(s, "evse_state", root, Nothing, spread=True)
+    assert len(glob.glob(f"{root}/evse_state/*.parquet")) > 3
+    assert spark.read.parquet(f"{root}/evse_state").count() == s("evse_state").count()

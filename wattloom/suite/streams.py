@@ -28,11 +28,12 @@ class replaced:
         return self.read(stream)
 
 
-def catch_up(s, stream: str, landing: str, start: Callable[[], StreamingQuery], copies: int = 1, late: bool = False) -> None:
+def catch_up(s, stream: str, landing: str, start: Callable[[], StreamingQuery], copies: int = 1, late: bool = False, spread: bool = False) -> None:
     """Land each part (``copies`` times), run the job until it has read everything, and stop it.
 
     Rows without a time land with the first part. With ``late`` every part brings every tenth row of the part before,
-    which that part then lacks.
+    which that part then lacks. With ``spread`` a part's files grow in number with its rows, by device, however few
+    row groups the table has; all later steps have as many tasks as there are files.
     """
     raw = s(stream).withColumn("_part", F.lit(0))
     for number, (first, _) in enumerate(PARTS[1:], 1):
@@ -42,8 +43,10 @@ def catch_up(s, stream: str, landing: str, start: Callable[[], StreamingQuery],
         raw = raw.withColumn("_part", F.when(held_back, F.least(F.col("_part") + 1, F.lit(len(PARTS) - 1))).otherwise(F.col("_part")))
     landed = raw.withColumn("timestamp", to_epoch_ms("timestamp"))
     for number in range(len(PARTS)):
+        part = landed.where(F.col("_part") == number).drop("_part")
+        part = part.hint("rebalance", "device_id") if spread else part
         for _ in range(copies):
-            landed.where(F.col("_part") == number).drop("_part").write.mode("append").parquet(f"{landing}/{stream}")
+            part.write.mode("append").parquet(f"{landing}/{stream}")
         query = start()
         query.processAllAvailable()
         query.stop()
@@ -125,7 +128,7 @@ def live_onsets(s, late: bool = False):
         rows = ingest.landing_stream(s.spark, f"{root}/landing", "evse_state")
         return latch.derate_onsets(rows, f"{root}/out", f"{root}/checkpoint", history)
 
-    catch_up(s, "evse_state", f"{root}/landing", start, late=late)
+    catch_up(s, "evse_state", f"{root}/landing", start, late=late, spread=True)
     return latch.read_onsets(s.spark, f"{root}/out")
 
 
